@@ -131,17 +131,24 @@ def remove_stop_words(toks, words=None) -> Column:
     return F.filter(_c(toks), lambda t: ~F.array_contains(arr, t))
 
 
+def _gram_fn(t: Column, n: int):
+    # one-argument lambda: a second parameter would be bound to the element index
+    def f(i):
+        return F.array_join(F.slice(t, i + 1, n), " ")
+    return f
+
+
 def ngrams(toks, n_min: int = 1, n_max: int = 1) -> Column:
     """All n-grams for n in [n_min, n_max], space-joined, in document order
-    by n then position (one array; no row explosion)."""
+    by n then position (one array; no row explosion). ``toks`` should be a
+    column reference (see ``with_ngrams``) so the tokenizer runs once per row."""
     t = _c(toks)
     parts = []
     for n in range(n_min, n_max + 1):
         if n == 1:
             parts.append(t)
             continue
-        grams = F.transform(F.sequence(F.lit(0), F.size(t) - n),
-                            lambda i, n=n: F.array_join(F.slice(t, i + 1, n), " "))
+        grams = F.transform(F.sequence(F.lit(0), F.size(t) - n), _gram_fn(t, n))
         parts.append(F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>")))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 

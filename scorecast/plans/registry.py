@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["weekly"]
+_MODULES = ["weekly", "text"]
 
 
 def _load():

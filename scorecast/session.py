@@ -23,6 +23,9 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+# local mode runs everything in the driver JVM; on a cluster this is ignored
+# in favour of the deployment's executor sizing
+_LOCAL_DRIVER_MEMORY = "16g"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -35,6 +38,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        conf["spark.driver.memory"] = _LOCAL_DRIVER_MEMORY
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
