@@ -127,8 +127,8 @@ def tokens(c, min_len: int = 2, to_lower: bool = True) -> Column:
 def remove_stop_words(toks, words=None) -> Column:
     """Drop tokens in the stop list (default: Spark's English list)."""
     words = list(english_stop_words() if words is None else words)
-    arr = F.array(*[F.lit(w) for w in words])
-    return F.filter(_c(toks), lambda t: ~F.array_contains(arr, t))
+    # ``isin`` with a literal list becomes a hash-set lookup (InSet)
+    return F.filter(_c(toks), lambda t: ~t.isin(words))
 
 
 def _gram_fn(t: Column, n: int):

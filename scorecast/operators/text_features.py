@@ -186,8 +186,7 @@ def shape_tagger(col: str, stop_words=None, to_lower: bool = False) -> Column:
     src = F.lower(F.col(col)) if to_lower else F.col(col)
     toks = F.regexp_extract_all(src, F.lit(tx.WORD_CHAR + "+"), F.lit(0))
     words = list(tx.english_stop_words() if stop_words is None else stop_words)
-    arr = F.array(*[F.lit(w) for w in words])
-    toks = F.filter(toks, lambda t: ~F.array_contains(arr, F.lower(t)))
+    toks = F.filter(toks, lambda t: ~F.lower(t).isin(words))  # hash-set lookup
 
     def tag(t):
         e = F.lit("OTHER")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["weekly", "text"]
+_MODULES = ["weekly", "text", "topics"]
 
 
 def _load():
