@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["weekly", "text", "topics"]
+_MODULES = ["weekly", "text", "topics", "models"]
 
 
 def _load():
