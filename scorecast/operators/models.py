@@ -281,11 +281,12 @@ def sparse_rows(long_df: DataFrame, key: str = "Id", index: str = "bucket",
             .select(key, F.col("__e.i").alias("idx"), F.col("__e.v").alias("val")))
 
 
-def max_abs_sparse(rows: DataFrame, dim: int):
+def max_abs_sparse(rows: DataFrame, dim: int, default: float = 1.0):
     """A13 / T16 on sparse rows: max |value| per index (partial + final
-    aggregate); returned as a dense array of length ``dim`` (the model size)."""
+    aggregate); returned as a dense array of length ``dim`` (the model size);
+    indices never seen (or all zero) get ``default``."""
     import numpy as np
-    m = np.ones(dim)
+    m = np.full(dim, float(default))
     agg = (rows.select(F.explode(F.arrays_zip("idx", "val")).alias("e"))
            .groupBy(F.col("e.idx").alias("i")).agg(F.max(F.abs(F.col("e.val"))).alias("m"))
            .collect())
@@ -312,15 +313,16 @@ class PassiveAggressiveRegressor:
         self.dim, self.C, self.epsilon, self.epochs = dim, C, epsilon, epochs
         self.label, self.key, self.scale = label, key, scale
 
-    def fit(self, df: DataFrame) -> "PAModel":
+    def fit(self, df: DataFrame, init=None) -> "PAModel":
+        """``init`` = (w, b) continues from earlier weights (incremental use)."""
         import numpy as np
         spark = df.sparkSession
         rows = (df.select(F.xxhash64(F.col(self.key)).alias("__o"),
                           F.col(self.label).cast("double").alias("y"), "idx", "val")
                 .sortWithinPartitions("__o").persist(StorageLevel.MEMORY_AND_DISK))
         n_parts = max(1, rows.rdd.getNumPartitions())
-        w = np.zeros(self.dim)
-        b = 0.0
+        w = np.zeros(self.dim) if init is None else np.array(init[0], dtype=float)
+        b = 0.0 if init is None else float(init[1])
         C, eps = self.C, self.epsilon
         scale = self.scale if self.scale is not None else np.ones(self.dim)
         for _ in range(self.epochs):
