@@ -7,8 +7,6 @@ Bins are integer arithmetic on seconds, never calendar intervals.
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,7 +16,9 @@ WEEK = 604800
 
 
 def _epoch_ntz() -> Column:
-    return F.lit(datetime.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    # from a string: a Python datetime literal would be a zoned timestamp and
+    # the cast to NTZ would shift it by the session time zone
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_seconds(ts) -> Column:

@@ -40,7 +40,9 @@ def spark_penalty(alpha: float, l1_ratio: float, sd_label: float, kind: str = "e
     kind 'ridge': |y-Xw|^2 + a|w|^2, i.e. the 'enet' form with a/n and r=0
     (pass ``alpha`` already divided by n).
     With ``standardization=False`` Spark divides its L2 term by the label's
-    sample sd, so lambda = a*r + a*(1-r)*sd and elasticNetParam = a*r/lambda.
+    sd, so lambda = a*r + a*(1-r)*sd and elasticNetParam = a*r/lambda. The sd
+    is the *sample* sd for the L-BFGS/OWL-QN solver and the *population* sd
+    for the normal-equation solver (``label_sd`` gives the right one).
     """
     if kind == "ridge":
         l1_ratio = 0.0
@@ -50,15 +52,24 @@ def spark_penalty(alpha: float, l1_ratio: float, sd_label: float, kind: str = "e
     return (lam, (l1 / lam) if lam > 0 else 0.0)
 
 
+def label_sd(df: DataFrame, label: str, solver: str) -> float:
+    """The label sd Spark's solver divides the L2 term by (see spark_penalty)."""
+    f = F.stddev_pop if solver == "normal" else F.stddev_samp
+    return df.agg(f(F.col(label).cast("double"))).first()[0] or 1.0
+
+
 def linear_model(alpha: float = 0.0, l1_ratio: float = 0.0, sd_label: float = 1.0,
                  kind: str = "enet", features: str = "features", label: str = "label",
-                 max_iter: int = 100, tol: float = 1e-6) -> LinearRegression:
+                 max_iter: int = 100, tol: float = 1e-6, solver: str = "l-bfgs"
+                 ) -> LinearRegression:
     """M3-M7: a linear model with the requested penalty (no standardization:
-    the features are max-abs scaled upstream, as in the reference). L2-only
-    fits use the normal equations when there are at most 4096 features
-    (``solver='auto'``), L1 needs OWL-QN."""
+    the features are max-abs scaled upstream, as in the reference).
+    ``solver='normal'`` (normal equations, at most 4096 features, no L1) must
+    be given the population label sd, ``'l-bfgs'`` (OWL-QN with L1) the
+    sample sd - see ``label_sd``."""
     lam, a = spark_penalty(alpha, l1_ratio, sd_label, kind)
-    solver = "auto" if a == 0.0 else "l-bfgs"
+    if a > 0.0:
+        solver = "l-bfgs"
     return LinearRegression(featuresCol=features, labelCol=label, regParam=lam,
                             elasticNetParam=a, standardization=False, solver=solver,
                             maxIter=max_iter, tol=tol)
@@ -66,13 +77,15 @@ def linear_model(alpha: float = 0.0, l1_ratio: float = 0.0, sd_label: float = 1.
 
 def fit_one_feature(df: DataFrame, x: str, y: str, alpha: float = 0.0, l1_ratio: float = 0.0,
                     kind: str = "enet") -> tuple[float, float]:
-    """M4-M7 on one feature: (slope, intercept)."""
-    sd = df.agg(F.stddev_samp(y)).first()[0] or 1.0
+    """M4-M7 on one feature: (slope, intercept). Without L1 the normal
+    equations give the exact closed form; with L1, OWL-QN to tolerance 1e-9."""
+    solver = "normal" if l1_ratio == 0.0 else "l-bfgs"
+    sd = label_sd(df, y, solver)
     n = df.count()
     a = alpha / n if kind == "ridge" else alpha
     d = VectorAssembler(inputCols=[x], outputCol="features").transform(
         df.select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias("label")))
-    m = linear_model(a, l1_ratio, sd, kind, tol=1e-9).fit(d)
+    m = linear_model(a, l1_ratio, sd, kind, tol=1e-9, solver=solver).fit(d)
     return float(m.coefficients[0]), float(m.intercept)
 
 

@@ -121,7 +121,7 @@ def _linear_grid(train):
         for alpha in (1e-5, 0.01):
             lam, a = md.spark_penalty(alpha, l1, sd, "enet")
             pm = {lr.regParam: lam, lr.elasticNetParam: a,
-                  lr.solver: "auto" if a == 0.0 else "l-bfgs"}
+                  lr.solver: "l-bfgs"}
             grid.append(pm)
             desc[(lam, a)] = {"l1_ratio": l1, "alpha": alpha}
     return pipe, grid, lambda pm: desc[(pm[lr.regParam], pm[lr.elasticNetParam])]
