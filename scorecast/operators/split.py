@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,20 +34,26 @@ def row_hash(key: str, seed: int | str) -> Column:
     return F.conv(F.substring(F.md5(s), 1, HASH_HEX), 16, 10).cast("long")
 
 
-def _strata_counts(df: DataFrame, strata: str | None) -> dict:
+def _base(df: DataFrame, key: str, seed, strata: str | None) -> DataFrame:
+    """The narrow (stratum, key, hash) projection every pass reads, cached
+    once so the input's own lineage runs a single time."""
+    s_col = F.col(strata) if strata else F.lit(0)
+    return df.select(s_col.alias("__s"), F.col(key).alias("__k"),
+                     row_hash(key, seed).alias("__h")).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _strata_counts(base: DataFrame, strata: str | None) -> dict:
+    rows = base.groupBy("__s").count().collect()
     if strata is None:
-        return {None: df.count()}
-    return {r[0]: r[1] for r in df.groupBy(strata).count().collect()}
+        return {None: sum(r[1] for r in rows)}
+    return {r[0]: r[1] for r in rows}
 
 
-def select_cuts(df: DataFrame, key: str, seed, strata: str | None,
-                targets: dict) -> dict:
+def select_cuts(base: DataFrame, strata: str | None, targets: dict) -> dict:
     """For each stratum s and each rank t in ``targets[s]`` (1-based), return
-    the (hash, key) of the row at rank t in (hash, key) order."""
-    s_col = F.col(strata) if strata else F.lit(0)
-    base = df.select(s_col.alias("__s"), F.col(key).alias("__k"),
-                     row_hash(key, seed).alias("__h"))
-    spark = df.sparkSession
+    the (hash, key) of the row at rank t in (hash, key) order. ``base`` is
+    the projection from ``_base``."""
+    spark = base.sparkSession
     want = [(s if strata else 0, t) for s, ts in targets.items() for t in ts if t > 0]
     if not want:
         return {}
@@ -109,9 +116,11 @@ def _le(h: Column, k: Column, cut) -> Column:
 def stratified_split(df: DataFrame, strata: str | None, train_frac: float, seed=44,
                      key: str = "Id", out: str = "split") -> DataFrame:
     """M1: exact per-stratum split, floor(train_frac * n_s) rows to 'train'."""
-    counts = _strata_counts(df, strata)
+    base = _base(df, key, seed, strata)
+    counts = _strata_counts(base, strata)
     targets = {s: [int(math.floor(train_frac * n))] for s, n in counts.items()}
-    cuts = select_cuts(df, key, seed, strata, targets)
+    cuts = select_cuts(base, strata, targets)
+    base.unpersist()
     h, k = row_hash(key, seed), F.col(key)
     cond = F.lit(False)
     for s, ts in targets.items():
@@ -128,9 +137,11 @@ def stratified_folds(df: DataFrame, strata: str | None, k: int = 5, seed=44,
     """M2: fold 0..k-1; each stratum's (hash, key) order is cut at floor(j*n_s/k)."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    counts = _strata_counts(df, strata)
+    base = _base(df, key, seed, strata)
+    counts = _strata_counts(base, strata)
     targets = {s: [j * n // k for j in range(1, k)] for s, n in counts.items()}
-    cuts = select_cuts(df, key, seed, strata, targets)
+    cuts = select_cuts(base, strata, targets)
+    base.unpersist()
     h, kc = row_hash(key, seed), F.col(key)
     fold = F.lit(0)
     for s, ts in targets.items():
@@ -147,12 +158,13 @@ def stratified_folds(df: DataFrame, strata: str | None, k: int = 5, seed=44,
 
 def exact_sample(df: DataFrame, n: int, seed=44, key: str = "Id") -> DataFrame:
     """Exactly ``min(n, rows)`` rows, chosen uniformly by hash rank."""
-    total = df.count()
-    if n >= total:
-        return df
-    if n <= 0:
-        return df.limit(0)
-    cut = select_cuts(df, key, seed, None, {None: [n]})[None][n]
+    base = _base(df, key, seed, None)
+    total = base.count()
+    if n >= total or n <= 0:
+        base.unpersist()
+        return df if n >= total else df.limit(0)
+    cut = select_cuts(base, None, {None: [n]})[None][n]
+    base.unpersist()
     return df.where(_le(row_hash(key, seed), F.col(key), cut))
 
 

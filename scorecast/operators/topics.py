@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from scorecast.functions import vectors as vx
 from scorecast.operators.joins import broadcast_if_bounded
-from scorecast.session import ensure_checkpoint_dir, shuffle_partitions
+from scorecast.session import ensure_checkpoint_dir, partitions_for, shuffle_partitions
 
 EPS = 1e-12
 
@@ -229,10 +229,12 @@ class NMF:
 
     def __init__(self, k: int = 6, max_iter: int = 200, seed: int = 44, tol: float = 1e-4,
                  loss_every: int = 10, id_col: str = "Id",
-                 max_model_bytes: int = 256 * 1024 * 1024, checkpoint_every: int = 10):
+                 max_model_bytes: int = 256 * 1024 * 1024, checkpoint_every: int = 10,
+                 docs_per_partition: int = 20000):
         self.k, self.max_iter, self.seed, self.tol = k, max_iter, seed, tol
         self.loss_every, self.id_col = loss_every, id_col
         self.max_model_bytes, self.checkpoint_every = max_model_bytes, checkpoint_every
+        self.docs_per_partition = docs_per_partition
 
     def fit(self, X: DataFrame) -> NMFModel:
         """Broadcast-H solver when k x V fits ``max_model_bytes``; otherwise
@@ -309,7 +311,9 @@ class NMF:
         vocab = spark.createDataFrame(list(enumerate(terms)), "tid int, term string")
         docs = _doc_rows(X, vocab, idc, n_terms, k)
         docs = docs.withColumn("w", _rand_array(F.col(idc), self.seed, k, scale))
-        docs = _materialize(docs.repartition(shuffle_partitions(spark), idc))
+        # one row per document: partitions of about ``docs_per_partition`` rows
+        n_docs = X.select(idc).distinct().count()
+        docs = _materialize(docs.repartition(partitions_for(n_docs, self.docs_per_partition), idc))
         h0 = (vocab.select("tid", _rand_array(F.col("term"), self.seed + 1, k, scale).alias("h"))
               .collect())
         H = np.zeros((k, n_terms))

@@ -22,7 +22,7 @@ from scorecast.operators import split as sp
 from scorecast.operators import text_features as tf
 from scorecast.plans.sqlviews import LABELLED, with_
 from scorecast.plans.text import _sql_hash, _sql_word_count
-from scorecast.session import scratch_path
+from scorecast.session import partitions_for, scratch_path
 from scorecast.sources.views import reviews
 
 SEED = 44
@@ -52,7 +52,11 @@ def model_table(spark, sf_dir):
                  F.col("__st").alias("summary_unigrams"),
                  tx.ngrams("__tt", 1, 3).alias("text_terms"),
                  F.col("__tt").alias("text_unigrams")).drop("__st", "__tt")
-    t = t.persist(StorageLevel.MEMORY_AND_DISK)
+    # reviews with their n-gram arrays are a few KB to a few hundred KB each;
+    # 5,000 rows per partition keeps partitions far below executor memory
+    n = lab.count()
+    t = t.repartition(partitions_for(n, 5000), "Id").persist(StorageLevel.MEMORY_AND_DISK)
+    t.count()
     _CACHE[key] = t
     return t
 

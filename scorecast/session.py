@@ -92,3 +92,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def parallelism(spark: SparkSession) -> int:
     return int(spark.sparkContext.defaultParallelism or os.cpu_count() or 8)
+
+
+def partitions_for(n_rows: int, rows_per_partition: int) -> int:
+    """Partition count that keeps each partition near ``rows_per_partition``
+    rows: grows with the data (no upper cap), at least 1. Used before
+    persisting tables that iterative jobs scan many times, so the per-task
+    overhead of small data does not dominate and large data stays split."""
+    return max(1, -(-int(n_rows) // int(rows_per_partition)))
