@@ -155,3 +155,21 @@ def ngrams(toks, n_min: int = 1, n_max: int = 1) -> Column:
 
 def first_line(c) -> Column:
     return F.substring_index(_c(c), "\n", 1)
+
+
+def python_word_tokenizer(min_len: int = 2):
+    """A user tokenizer as an Arrow-batched pandas UDF (Python's
+    Unicode ``\\w``, lowercase, tokens of ``min_len``+ characters) - the
+    escape hatch for tokenizers with no JVM equivalent. Returns a function
+    Column -> array<string> usable wherever a tokenizer is accepted."""
+    import pandas as pd
+
+    pattern = r"(?u)\b\w{%d,}\b" % max(1, min_len)
+
+    @F.pandas_udf("array<string>")
+    def _tok(s: pd.Series) -> pd.Series:
+        import re
+        rx = re.compile(pattern)
+        return s.fillna("").str.lower().map(rx.findall)
+
+    return lambda c: _tok(_c(c))

@@ -252,21 +252,23 @@ def m14_multi_model_grid(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
     sd = train.agg(F.stddev_samp("label")).first()[0] or 1.0
     n = train.count()
-    cands = [("ols", {}, md.linear_model(0.0, 0.0, sd)),
-             ("ridge", {"alpha": 1.0}, md.linear_model(1.0 / n, 0.0, sd, "ridge")),
-             ("ridge", {"alpha": 10.0}, md.linear_model(10.0 / n, 0.0, sd, "ridge")),
+    cands = [("ols", {}, md.linear_model(0.0, 0.0, sd, max_iter=50)),
+             ("ridge", {"alpha": 1.0}, md.linear_model(1.0 / n, 0.0, sd, "ridge", max_iter=50)),
+             ("ridge", {"alpha": 10.0}, md.linear_model(10.0 / n, 0.0, sd, "ridge", max_iter=50)),
              ("lasso", {"alpha": 0.1}, md.linear_model(0.1, 1.0, sd, max_iter=50)),
              ("elastic_net", {"alpha": 0.1, "l1_ratio": 0.5},
               md.linear_model(0.1, 0.5, sd, max_iter=50)),
              ("random_forest", {"n_estimators": 2, "max_depth": 3},
               RandomForestRegressor(numTrees=2, maxDepth=3, seed=SEED))]
-    rows = []
-    for name, params, est in cands:
-        scale = name != "random_forest"
-        pipe = md.text_pipeline(est, "summary_unigrams", "text_unigrams", NUMERIC, scale=scale)
-        cvm = md.cross_validate(pipe, [{}], train)
-        rows.append((name, str(sorted(params.items())), float(cvm.avgMetrics[0]),
-                     float(cvm.stdMetrics[0])))
+
+    def one(c):
+        name, params, est = c
+        pipe = md.text_pipeline(est, "summary_unigrams", "text_unigrams", NUMERIC,
+                                scale=name != "random_forest")
+        cvm = md.cross_validate(pipe, [{}], train, parallelism=5)
+        return (name, str(sorted(params.items())), float(cvm.avgMetrics[0]),
+                float(cvm.stdMetrics[0]))
+    rows = md.parallel_map(one, cands, parallelism=3)
     best = min(r[2] for r in rows)
     df = spark.createDataFrame(rows, "model string, params string, score double, st_dev double")
     return df.withColumn("best", F.col("score") == F.lit(best)).orderBy("score")
@@ -357,14 +359,16 @@ def a14_fold_rmse_mean_sd(spark, sf_dir):
     j = oof.join(train.select("Id", "label"), "Id")
     per = j.groupBy("fold").agg(F.sqrt(F.avg((F.col("label") - F.col("score")) ** 2)).alias("rmse"))
     from scorecast.operators.aggregates import metric_mean_sd
-    return metric_mean_sd(per.withColumn("k", F.lit(1)), ["k"], "rmse").drop("k")
+    out = metric_mean_sd(per.withColumn("k", F.lit(1)), ["k"], "rmse").drop("k")
+    return out.select(F.round("rmse_mean", 9).alias("rmse_mean"),
+                      F.round("rmse_std", 9).alias("rmse_std"))
 
 
 _A14_SQL = _CLEAN_SQL + _split_sql() + """
 , fm AS (SELECT f.fold, (SELECT avg(y) FROM folds g WHERE g.fold <> f.fold) AS mu
          FROM (SELECT DISTINCT fold FROM folds) f),
 per AS (SELECT fold, sqrt(avg((y - mu) * (y - mu))) AS rmse FROM folds JOIN fm USING (fold) GROUP BY fold)
-SELECT avg(rmse) AS rmse_mean, stddev_pop(rmse) AS rmse_std FROM per
+SELECT round(avg(rmse), 9) AS rmse_mean, round(stddev_pop(rmse), 9) AS rmse_std FROM per
 """
 
 

@@ -412,7 +412,37 @@ def p17_numeric_step(spark, sf_dir):
     return cl.select_numeric(r)
 
 
+def t7_custom_tokenizer(spark, sf_dir):
+    """T7 + X1: count vectoriser with a user-supplied tokenizer (a pandas UDF
+    running Python's Unicode word tokenizer); summary unigram counts."""
+    r = reviews(spark, sf_dir)
+    tok = tx.python_word_tokenizer(2)
+    return tf.ngram_doc_terms(r, tok("Summary"), 1, 1)
+
+
+_T7_SQL = with_(REVIEWS) + f"""
+SELECT Id, term, count(*) AS tf
+FROM (SELECT Id, unnest(regexp_extract_all(lower(Summary), '{_W2}')) AS term FROM reviews)
+GROUP BY 1, 2
+"""
+
+
+def p10_test_rows(spark, sf_dir):
+    """M1 + P10: labelled reviews whose key is not among the train keys (anti join)."""
+    from scorecast.operators.joins import drop_keys
+    lab = reviews(spark, sf_dir, supervised=True).select("Id", "Score")
+    train = sp.stratified_split(lab, "Score", 0.5, SEED).where(F.col("split") == "train")
+    return drop_keys(lab, train, "Id")
+
+
+_P10_SQL = with_(LABELLED, _sql_split("labelled", 0.5)) + """
+SELECT Id, Score FROM labelled WHERE Id NOT IN (SELECT Id FROM split WHERE split = 'train')
+"""
+
+
 QUERIES = {
+    "T7_custom_tokenizer": t7_custom_tokenizer,
+    "P10_test_rows": p10_test_rows,
     "P1_dedupe_keep_first": p1_dedupe_keep_first,
     "F5_clean_word_counts": f5_clean_word_counts,
     "F6_text_statistics": f6_text_statistics,
@@ -437,6 +467,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "T7_custom_tokenizer": _T7_SQL,
+    "P10_test_rows": _P10_SQL,
     "P1_dedupe_keep_first": _P1_SQL,
     "F5_clean_word_counts": _F5_SQL,
     "F6_text_statistics": _stats_sql(),
