@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 from functools import lru_cache
 
+import pandas as pd
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -162,8 +164,6 @@ def python_word_tokenizer(min_len: int = 2):
     Unicode ``\\w``, lowercase, tokens of ``min_len``+ characters) - the
     escape hatch for tokenizers with no JVM equivalent. Returns a function
     Column -> array<string> usable wherever a tokenizer is accepted."""
-    import pandas as pd
-
     pattern = r"(?u)\b\w{%d,}\b" % max(1, min_len)
 
     @F.pandas_udf("array<string>")
