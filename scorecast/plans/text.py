@@ -376,17 +376,20 @@ def t8_tag_counts_aligned(spark, sf_dir):
 
 
 def _t8_sql():
+    # the column set is the train half's tag vocabulary (data-dependent), so
+    # the oracle pivots a zero-filled long table over that vocabulary
     sw = _sql_str_list(tx.english_stop_words())
     case = "CASE " + " ".join(
         f"WHEN regexp_matches(x, '{p}') THEN '{n}'" for n, p in tf.SHAPE_TAGS) + " ELSE 'OTHER' END"
-    tags = sorted([n for n, _ in tf.SHAPE_TAGS] + ["OTHER"])
-    cols = ",\n  ".join(
-        f"CAST(len(list_filter(tags, lambda x: x = '{t}')) AS BIGINT) AS Summary_{t}" for t in tags)
     return with_(LABELLED, _sql_split("labelled", 0.5)) + f"""
 , tk AS (SELECT Id, split, list_filter(regexp_extract_all(Summary, '{_W1}'),
                                        lambda x: NOT list_contains({sw}, lower(x))) AS t FROM split),
-tg AS (SELECT Id, split, list_transform(t, lambda x: {case}) AS tags FROM tk)
-SELECT Id, split, {cols} FROM tg
+tg AS (SELECT Id, split, list_transform(t, lambda x: {case}) AS tags FROM tk),
+vocab AS (SELECT DISTINCT unnest(tags) AS tag FROM tg WHERE split = 'train'),
+long AS (SELECT tg.Id, tg.split, 'Summary_' || vocab.tag AS col,
+                CAST(len(list_filter(tg.tags, lambda x: x = vocab.tag)) AS BIGINT) AS n
+         FROM tg CROSS JOIN vocab)
+PIVOT long ON col USING first(n) GROUP BY Id, split
 """
 
 
