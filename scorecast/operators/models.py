@@ -302,10 +302,8 @@ def max_abs_sparse(rows: DataFrame, dim: int, default: float = 1.0):
     m = np.full(dim, float(default))
     agg = (rows.select(F.explode(F.arrays_zip("idx", "val")).alias("e"))
            .groupBy(F.col("e.idx").alias("i")).agg(F.max(F.abs(F.col("e.val"))).alias("m"))
-           .collect())
-    for r in agg:
-        if r["m"]:
-            m[r["i"]] = r["m"]
+           .where(F.col("m") > 0).toPandas())
+    m[agg["i"].to_numpy()] = agg["m"].to_numpy()
     return m
 
 
@@ -362,13 +360,12 @@ class PassiveAggressiveRegressor:
                 yield pd.DataFrame({"i": np.append(nz, -1).astype(np.int64),
                                     "d": np.append(d[nz], bl - b0)})
 
+            # summed deltas come back through Arrow (model-sized, bounded by dim)
             delta = (rows.mapInPandas(run, "i long, d double").groupBy("i")
-                     .agg(F.sum("d").alias("d")).collect())
-            for r in delta:
-                if r["i"] < 0:
-                    b += r["d"] / n_parts
-                else:
-                    w[r["i"]] += r["d"] / n_parts
+                     .agg(F.sum("d").alias("d")).toPandas())
+            ii, dd = delta["i"].to_numpy(), delta["d"].to_numpy()
+            b += float(dd[ii < 0].sum()) / n_parts
+            w[ii[ii >= 0]] += dd[ii >= 0] / n_parts
             bc.unpersist()
         rows.unpersist()
         return PAModel(w, b, scale)

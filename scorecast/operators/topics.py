@@ -334,21 +334,18 @@ class NMF:
             # per-term partial sums of W_new^T X, plus the k x k Gram and loss parts
             red = (out.where(F.col("kind") > 0)
                    .groupBy("kind", "tid")
-                   .agg(*[F.sum(F.col("vec")[i]).alias(f"s{i}") for i in range(k * k + 1)])
-                   .collect())
+                   .agg(*[F.sum(F.col("vec")[i]).alias(f"s{i}") for i in range(k)])
+                   .toPandas())          # model-sized (V + 2k + 1 rows), via Arrow
+            kind, tids = red["kind"].to_numpy(), red["tid"].to_numpy()
+            vals = red[[f"s{i}" for i in range(k)]].fillna(0.0).to_numpy()
             WX = np.zeros((k, n_terms))
+            WX[:, tids[kind == 1]] = vals[kind == 1].T
             WtW_new = np.zeros((k, k))
-            stats = np.zeros(k * k + 1)
-            for r in red:
-                v = np.array([r[f"s{i}"] or 0.0 for i in range(k * k + 1)])
-                if r["kind"] == 1:
-                    WX[:, r["tid"]] = v[:k]
-                elif r["tid"] == 0:
-                    WtW_new = v[:k * k].reshape(k, k)
-                else:
-                    stats = v
+            WtW_new[tids[kind == 2]] = vals[kind == 2]
+            WtW_in = np.zeros((k, k))
+            WtW_in[tids[kind == 3]] = vals[kind == 3]
+            cross = float(vals[kind == 4][:, 0].sum())
             # loss of the state that entered this step: ||X||^2 - 2 cross + <W^T W, H H^T>
-            WtW_in, cross = stats[:k * k].reshape(k, k), stats[k * k]
             losses.append(float(xx - 2.0 * cross + float((WtW_in * HHt).sum())))
             H = H * WX / (WtW_new @ H + EPS)
             docs = out.where(F.col("kind") == 0).select(idc, "tid_arr", "val", "w")
@@ -381,9 +378,22 @@ def _doc_rows(X: DataFrame, vocab: DataFrame, idc: str, n_terms: int, k: int) ->
             .select(idc, F.col("__e.tid").alias("tid_arr"), F.col("__e.x").alias("val")))
 
 
+def _sparse_rows_np(pdf):
+    import numpy as np
+    n = len(pdf)
+    lens = np.fromiter((len(a) for a in pdf["tid_arr"]), dtype=np.int64, count=n)
+    tid = (np.concatenate(pdf["tid_arr"].to_numpy()).astype(np.int64)
+           if lens.sum() else np.zeros(0, np.int64))
+    val = (np.concatenate(pdf["val"].to_numpy()).astype(float) if lens.sum() else np.zeros(0))
+    return np.repeat(np.arange(n), lens), tid, val
+
+
 def _nmf_step_fn(hb, k: int, idc: str):
     """mapInPandas body: W-step for a batch of documents plus their partial
-    W_new^T X (per term), W_new^T W_new and the loss parts of the input state."""
+    W_new^T X (per term), W_new^T W_new and the loss parts of the input state.
+    Output rows: kind 0 = document (new W), 1 = term partial sums, 2 = Gram
+    row i of W_new^T W_new (tid = i), 3 = Gram row i of the input W^T W
+    (tid = i), 4 = the loss cross term (vec[0])."""
 
     def run(batches):
         import numpy as np
@@ -395,35 +405,28 @@ def _nmf_step_fn(hb, k: int, idc: str):
             if n == 0:
                 continue
             W = np.stack(pdf["w"].to_numpy())
-            lens = np.fromiter((len(a) for a in pdf["tid_arr"]), dtype=np.int64, count=n)
-            tid = (np.concatenate(pdf["tid_arr"].to_numpy()).astype(np.int64)
-                   if lens.sum() else np.zeros(0, np.int64))
-            val = (np.concatenate(pdf["val"].to_numpy()).astype(float)
-                   if lens.sum() else np.zeros(0))
-            row = np.repeat(np.arange(n), lens)
-            Ht = H[:, tid].T                                  # nnz x k
-            XH = np.zeros((n, k))
-            np.add.at(XH, row, val[:, None] * Ht)
-            cross_in = float((val * (W[row] * Ht).sum(axis=1)).sum())
+            row, tid, val = _sparse_rows_np(pdf)
+            Ht = H[:, tid]                                    # k x nnz
+            XH = np.stack([np.bincount(row, weights=val * Ht[j], minlength=n)
+                           for j in range(k)], axis=1)
+            cross_in = float((val * np.einsum("ij,ji->i", W[row], Ht)).sum())
             WtW_in = W.T @ W
             Wn = W * XH / (W @ HHt + EPS)
-            contrib = Wn[row] * val[:, None]
             uniq, inv = np.unique(tid, return_inverse=True)
-            WX = np.zeros((len(uniq), k))
-            np.add.at(WX, inv, contrib)
+            Wr = Wn[row]
+            WX = np.stack([np.bincount(inv, weights=val * Wr[:, j], minlength=len(uniq))
+                           for j in range(k)], axis=1)
             WtW = Wn.T @ Wn
             docs = pd.DataFrame({"kind": 0, idc: pdf[idc].to_numpy(),
                                  "tid_arr": pdf["tid_arr"], "val": pdf["val"],
                                  "w": list(Wn), "tid": None, "vec": None})
-            pad = [0.0] * (k * k + 1 - k)
-            terms = pd.DataFrame({"kind": 1, idc: None, "tid_arr": None, "val": None, "w": None,
-                                  "tid": uniq.astype(np.int32),
-                                  "vec": [list(r) + pad for r in WX]})
-            stats = pd.DataFrame({"kind": 2, idc: None, "tid_arr": None, "val": None, "w": None,
-                                  "tid": [0, 1],
-                                  "vec": [list(WtW.ravel()) + [0.0],
-                                          list(WtW_in.ravel()) + [cross_in]]})
-            yield pd.concat([docs, terms, stats], ignore_index=True)
+            extra = pd.DataFrame({
+                "kind": np.concatenate([np.ones(len(uniq), np.int32), np.full(k, 2, np.int32),
+                                        np.full(k, 3, np.int32), [4]]).astype(np.int32),
+                idc: None, "tid_arr": None, "val": None, "w": None,
+                "tid": np.concatenate([uniq, np.arange(k), np.arange(k), [0]]).astype(np.int32),
+                "vec": list(WX) + list(WtW) + list(WtW_in) + [np.r_[cross_in, np.zeros(k - 1)]]})
+            yield pd.concat([docs, extra], ignore_index=True)
     return run
 
 
@@ -441,14 +444,10 @@ def _nmf_transform_fn(hb, k: int, idc: str, max_iter: int):
             if n == 0:
                 continue
             W = np.stack(pdf["w"].to_numpy())
-            lens = np.fromiter((len(a) for a in pdf["tid_arr"]), dtype=np.int64, count=n)
-            tid = (np.concatenate(pdf["tid_arr"].to_numpy()).astype(np.int64)
-                   if lens.sum() else np.zeros(0, np.int64))
-            val = (np.concatenate(pdf["val"].to_numpy()).astype(float)
-                   if lens.sum() else np.zeros(0))
-            row = np.repeat(np.arange(n), lens)
-            XH = np.zeros((n, k))
-            np.add.at(XH, row, val[:, None] * H[:, tid].T)
+            row, tid, val = _sparse_rows_np(pdf)
+            Ht = H[:, tid]
+            XH = np.stack([np.bincount(row, weights=val * Ht[j], minlength=n)
+                           for j in range(k)], axis=1)
             for _ in range(max_iter):
                 W = W * XH / (W @ HHt + EPS)
             yield pd.DataFrame({idc: pdf[idc].to_numpy(), "w": list(W)})
