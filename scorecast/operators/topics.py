@@ -230,18 +230,20 @@ class NMF:
     def __init__(self, k: int = 6, max_iter: int = 200, seed: int = 44, tol: float = 1e-4,
                  loss_every: int = 10, id_col: str = "Id",
                  max_model_bytes: int = 256 * 1024 * 1024, checkpoint_every: int = 10,
-                 docs_per_partition: int = 20000):
+                 nnz_per_partition: int = 200_000):
         self.k, self.max_iter, self.seed, self.tol = k, max_iter, seed, tol
         self.loss_every, self.id_col = loss_every, id_col
         self.max_model_bytes, self.checkpoint_every = max_model_bytes, checkpoint_every
-        self.docs_per_partition = docs_per_partition
+        self.nnz_per_partition = nnz_per_partition
 
     def fit(self, X: DataFrame) -> NMFModel:
         """Broadcast-H solver when k x V fits ``max_model_bytes``; otherwise
         the all-DataFrame solver (H stays distributed, keyed by term)."""
         X = _prep(X, self.id_col).persist(StorageLevel.MEMORY_AND_DISK)
         st = X.agg(F.countDistinct("term").alias("v"), F.countDistinct(self.id_col).alias("n"),
-                   F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("xx")).first()
+                   F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("xx"),
+                   F.count(F.lit(1)).alias("nnz")).first()
+        self._nnz = int(st["nnz"] or 0)
         n_terms = int(st["v"] or 0)
         mean = float(st["s"] or 0.0) / max(1, int(st["n"] or 1) * max(1, n_terms))
         scale = (mean / self.k) ** 0.5 * 2.0 if mean > 0 else 1.0
@@ -311,9 +313,10 @@ class NMF:
         vocab = spark.createDataFrame(list(enumerate(terms)), "tid int, term string")
         docs = _doc_rows(X, vocab, idc, n_terms, k)
         docs = docs.withColumn("w", _rand_array(F.col(idc), self.seed, k, scale))
-        # one row per document: partitions of about ``docs_per_partition`` rows
-        n_docs = X.select(idc).distinct().count()
-        docs = _materialize(docs.repartition(partitions_for(n_docs, self.docs_per_partition), idc))
+        # one row per document; partitions hold about ``nnz_per_partition``
+        # non-zeros of X, so per-task work is even and grows with the data
+        docs = _materialize(docs.repartition(partitions_for(self._nnz, self.nnz_per_partition),
+                                             idc))
         h0 = (vocab.select("tid", _rand_array(F.col("term"), self.seed + 1, k, scale).alias("h"))
               .collect())
         H = np.zeros((k, n_terms))
