@@ -8,7 +8,6 @@ as well as the one built here.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -25,7 +24,7 @@ _DEFAULTS = {
 }
 # local mode runs everything in the driver JVM; on a cluster this is ignored
 # in favour of the deployment's executor sizing
-_LOCAL_DRIVER_MEMORY = "16g"
+_LOCAL_DRIVER_MEMORY = "8g"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -49,51 +48,46 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor and the driver can read and write.
 
-    The cluster's value is always used when present; a private folder is
-    created only when the setting is missing (local tests).
+    ``spark.checkpoint.dir`` of the session wins; then a folder the caller
+    gave to ``setCheckpointDir``. Only a local master (tests) gets a private
+    temporary folder; on a cluster a missing setting is an error, because a
+    machine-local folder would be invisible to the other machines.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="scorecast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
-
+    if configured:
+        return configured.rstrip("/")
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    configured = tempfile.mkdtemp(prefix="scorecast-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path inside the shared checkpoint folder.
 
-    Used for written intermediate tables (sinks, round trips, stream inputs)
-    so executors on every node see the same files.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        ensure_checkpoint_dir(spark)
-        base = spark.conf.get("spark.checkpoint.dir")
-    base = base.rstrip("/")
-    return f"{base}/scorecast/{name}-{uuid.uuid4().hex}"
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make reliable checkpoints go to :func:`shared_dir`; returns the folder."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_dir(spark))
+    return sc.getCheckpointDir()
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for APIs that need a plain local path."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path inside the shared folder, for written
+    intermediate tables (sinks, round trips, stream inputs)."""
+    return f"{shared_dir(spark)}/scorecast/{name}-{uuid.uuid4().hex}"
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism or os.cpu_count() or 8)
-
-
 def partitions_for(n_rows: int, rows_per_partition: int) -> int:
     """Partition count that keeps each partition near ``rows_per_partition``
     rows: grows with the data (no upper cap), at least 1. Used before
