@@ -22,6 +22,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,13 @@ from scorecast.llm.common import arrow_map, written
 
 END_ID = 2
 # A worker's memo of encoded words is emptied beyond this many entries.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 1_000_000
+
+
+# Byte-level vocabularies write a byte that is no visible Latin-1 character as
+# the next character from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 class WordMemo(dict):
@@ -42,7 +49,8 @@ class WordMemo(dict):
     The byte-level pre-tokeniser starts a new word at every single space
     between two non-blank characters (the space opens the word) and on both
     sides of every single line feed between two non-blank characters, and it
-    merges only within words. So a text is the concatenation of its chunks
+    merges only within words; a word of letters ends at the first other
+    character. So a text is the concatenation of its chunks
     there, and a chunk needs to be encoded only once.
     """
 
@@ -50,10 +58,21 @@ class WordMemo(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.whole(chunk)
+        tail = len(chunk)
+        while tail and not chunk[tail - 1].isalnum():
+            tail -= 1
+        word = chunk[1:tail] if chunk[0] == " " else chunk[:tail]
+        if not word.isalpha() or not chunk[tail:].isascii() or " " in chunk[tail:]:
+            ids = self.whole(chunk)
+        elif tail < len(chunk):
+            ids = self[chunk[:tail]] + self[chunk[tail:]]  # a word of letters ends where its letters end
+        else:  # one word of letters: nothing to pre-tokenise
+            ids = np.array([t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(BYTE_CHARS))],
+                           dtype="<u4").tobytes()
         if len(self) >= MEMO_ENTRIES:
             self.clear()
         self[chunk] = ids
@@ -96,6 +115,12 @@ class WordMemo(dict):
         out.extend([self[" " + p] for p in parts[1:]])
 
 
+@lru_cache(maxsize=1)
+def word_memo(vocabulary: str) -> WordMemo:
+    """The memo of a worker process, kept over its tasks."""
+    return WordMemo(vocabulary)
+
+
 def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", *,
                  capacity: int = 1024, with_ids: bool = False) -> DataFrame:
     """One row per piece: (doc_id, piece, start, length, ids_crc32[, ids]).
@@ -110,7 +135,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordMemo(vocabulary)
+        memo = word_memo(vocabulary)
         for b in it:
             rows: list[tuple] = []
             for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
