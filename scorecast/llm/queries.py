@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorecast.llm.decontam import contaminated_pairs
 from scorecast.llm.line_dedup import line_dedup
 from scorecast.llm.packing import best_fit_packing
 from scorecast.llm.simhash import simhash_groups
+from scorecast.llm.toxicity import toxicity_scores
 from scorecast.sources.tables import load_table
 
 
@@ -29,6 +31,26 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(docs, shingle=3, max_bits=3)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item, with the item."""
+    docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
+    return contaminated_pairs(docs, load_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def held_out(id_col: str) -> Column:
+    """Rows of this remainder are never learned from."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside the held-out rows."""
+    docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = load_table(spark, sf_dir, "labels", "doc_id", "toxic")
+    out = toxicity_scores(docs, labels, ~held_out("doc_id"))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Common long lines dropped except in the largest document."""
     docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -58,6 +80,8 @@ FROM marked GROUP BY doc_id
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_decontamination": op7_decontamination,
+    "op8_toxicity": op8_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 
