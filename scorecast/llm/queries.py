@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorecast.llm.decontam import contaminated_pairs
+from scorecast.llm.licenses import scan_licenses
 from scorecast.llm.line_dedup import line_dedup
 from scorecast.llm.packing import best_fit_packing
+from scorecast.llm.pii import BASE, find_pii, of_kinds, span_text
 from scorecast.llm.simhash import simhash_groups
 from scorecast.llm.toxicity import toxicity_scores
 from scorecast.sources.tables import load_table
@@ -25,6 +27,23 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(docs, vocabulary("byte_bpe_50k.json"), capacity=1024)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base kinds,
+    all spans, and the spans with their scores."""
+    docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = find_pii(docs).select("doc_id", "pii")
+    counts = [F.size(of_kinds(F.col("pii"), k)).cast("long").alias(f"n_{k}") for k in BASE]
+    scored = F.transform("pii", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"),
+                                                      F.format_number(s["score"], 2)))
+    return found.select("doc_id", *counts, F.sha2(span_text(of_kinds(F.col("pii"), *BASE)), 256).alias("base_sha256"),
+                        span_text(F.col("pii")).alias("spans"), F.array_join(scored, ",").alias("scored"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences recognised in every document that holds a known sentence."""
+    return scan_licenses(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and their components at 3 bits or fewer."""
     docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -79,6 +98,8 @@ FROM marked GROUP BY doc_id
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_pii": op3_pii,
+    "op4_license_scan": op4_license_scan,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
