@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scorecast.llm.ann import nearest
 from scorecast.llm.decontam import contaminated_pairs
 from scorecast.llm.licenses import scan_licenses
 from scorecast.llm.line_dedup import line_dedup
@@ -12,6 +13,7 @@ from scorecast.llm.packing import best_fit_packing
 from scorecast.llm.pii import BASE, find_pii, of_kinds, span_text
 from scorecast.llm.simhash import simhash_groups
 from scorecast.llm.toxicity import toxicity_scores
+from scorecast.llm.url_filter import filter_urls
 from scorecast.sources.tables import load_table
 
 
@@ -21,6 +23,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: the rule's, else the language models'."""
+    out = filter_urls(load_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict", "llr", "p_block")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
     docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -44,6 +56,12 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(load_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one by inner product."""
+    vectors = load_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nearest(vectors, F.col("id") % 20 == 0, k=20)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and their components at 3 bits or fewer."""
     docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -97,9 +115,11 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_pii": op3_pii,
     "op4_license_scan": op4_license_scan,
+    "op5_ann_search": op5_ann_search,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
