@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorecast.llm.common import arrow_map, written
+from scorecast.llm.common import arrow_map, free_name, written
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7)
@@ -70,16 +70,22 @@ def text_terms(text: str) -> Counter:
     return out
 
 
+def text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def term_vectors(docs: DataFrame, id_col: str, text_col: str, terms: list[str]) -> DataFrame:
-    """(id, terms, counts): counts of the selected terms, one row per row."""
+    """(id, text_key, terms, counts): counts of the selected terms, one row per
+    row; ``text_key`` is a hash of the text."""
     index = {t: i for i, t in enumerate(terms)}
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    src = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("text_key"),
+                      F.coalesce(F.col(text_col), F.lit("")).alias("t"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, tuple[int, ...]] = {}
         for b in it:
             ts, cs = [], []
-            for t in b.column(1).to_pylist():
+            for t in b.column(2).to_pylist():
                 got: Counter = Counter()
                 for w, n in Counter(WORD.findall(t.lower())).items():
                     hit = memo.get(w)
@@ -93,10 +99,10 @@ def term_vectors(docs: DataFrame, id_col: str, text_col: str, terms: list[str])
                 ts.append(order)
                 cs.append([got[i] for i in order])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ts, type=pa.list_(pa.int32())), pa.array(cs, type=pa.list_(pa.int32()))],
-                names=["id", "terms", "counts"])
+                [b.column(0), b.column(1), pa.array(ts, type=pa.list_(pa.int32())), pa.array(cs, type=pa.list_(pa.int32()))],
+                names=["id", "text_key", "terms", "counts"])
 
-    return arrow_map(src, "id long, terms array<int>, counts array<int>", run)
+    return arrow_map(src, "id long, text_key long, terms array<int>, counts array<int>", run)
 
 
 def select_terms(examples: DataFrame, settings: Settings) -> list[str]:
@@ -256,7 +262,7 @@ def _sample(labelled: DataFrame, s: Settings) -> DataFrame:
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", settings: Settings = Settings()) -> DataFrame:
-    """(doc_id, score, evidence) for every row of ``docs``.
+    """(doc_id, text_key, score, evidence) for every row of ``docs``.
 
     ``learn`` is a condition on ``labels`` that says which rows may be learned
     from. ``evidence`` holds the ids of the nearest labelled examples.
@@ -277,7 +283,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column | None = N
         memo: dict[tuple, tuple[float, list[int]]] = {}
         for b in it:
             scores, ids = [], []
-            for t, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for t, c in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 key = (*t, *c)
                 got = memo.get(key)
                 if got is None:
@@ -292,10 +298,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column | None = N
                 scores.append(got[0])
                 ids.append(got[1])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(scores, type=pa.float64()), pa.array(ids, type=pa.list_(pa.int64()))],
-                names=["doc_id", "score", "evidence"])
+                [b.column(0), b.column(1), pa.array(scores, type=pa.float64()), pa.array(ids, type=pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "score", "evidence"])
 
-    return vectors.mapInArrow(run, "doc_id long, score double, evidence array<long>")
+    return vectors.mapInArrow(run, "doc_id long, text_key long, score double, evidence array<long>")
 
 
 def _fit(vectors: DataFrame, sample: DataFrame, terms: list[str], settings: Settings) -> ToxicityModel:
@@ -321,3 +327,14 @@ def _fit(vectors: DataFrame, sample: DataFrame, terms: list[str], settings: Sett
     if 0 < y.sum() < len(y):
         model.slope, model.shift = _logistic_fit(x, y)
     return model
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_col: str = "doc_id",
+               text_col: str = "text", reject_at: float = 0.7, **settings) -> DataFrame:
+    """The rows of ``docs`` with a score below ``reject_at``."""
+    gone = (toxicity_scores(docs, labels, learn, id_col=id_col, text_col=text_col, **settings)
+            .filter(F.col("score") >= reject_at).select("doc_id", "text_key").distinct())
+    a, b = free_name(docs.columns, "tx_id"), free_name(docs.columns, "tx_key")
+    gone = gone.select(F.col("doc_id").alias(a), F.col("text_key").alias(b))
+    return docs.join(gone, (text_key(text_col) == F.col(b)) & F.col(id_col).cast("long").eqNullSafe(F.col(a)),
+                     "left_anti")
