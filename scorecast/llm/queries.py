@@ -12,6 +12,7 @@ from scorecast.llm.line_dedup import line_dedup
 from scorecast.llm.packing import best_fit_packing
 from scorecast.llm.pii import BASE, find_pii, of_kinds, span_text
 from scorecast.llm.simhash import simhash_groups
+from scorecast.llm.suffix_dedup import suffix_dedup
 from scorecast.llm.toxicity import toxicity_scores
 from scorecast.llm.url_filter import filter_urls
 from scorecast.sources.tables import load_table
@@ -88,6 +89,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 50-byte strings that a smaller document holds are removed."""
+    out = suffix_dedup(load_table(spark, sf_dir, "documents", "doc_id", "text"), length=50)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Common long lines dropped except in the largest document."""
     docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -123,6 +130,7 @@ QUERIES = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
