@@ -66,7 +66,7 @@ def op5_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and their components at 3 bits or fewer."""
     docs = load_table(spark, sf_dir, "documents", "doc_id", "text")
-    return simhash_groups(docs, shingle=3, max_bits=3)
+    return simhash_groups(docs, shingle=3, max_bits=3).drop("text_key")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

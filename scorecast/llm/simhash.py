@@ -37,7 +37,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorecast.llm.common import arrow_map, free_name, utf8, written
@@ -74,16 +74,23 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(_WORD[2 * ones > len(h)].sum(dtype=np.uint64))
 
 
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, one row per input row."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("t"))
+    """(doc_id, text_key, fp): the fingerprint as a signed long and a hash of
+    the text, one row per input row."""
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text_col).alias("text_key"),
+                      utf8(text_col).alias("t"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))],
+                                             names=["doc_id", "text_key", "fp"])
 
-    return arrow_map(src, "doc_id long, fp long", run)
+    return arrow_map(src, "doc_id long, text_key long, fp long", run)
 
 
 class PivotTables:
@@ -217,8 +224,9 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 3,
                    max_bits: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id): component_id is the smallest
-    doc_id that links of at most ``max_bits`` bits reach, itself included."""
+    """(doc_id, text_key, fingerprint, component_id): component_id is the
+    smallest doc_id that links of at most ``max_bits`` bits reach, itself
+    included; ``text_key`` tells rows that share an id apart."""
     fp = written(fingerprints(docs, id_col, text_col, shingle=shingle), "simhash")
     distinct = written(fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     comp = components(links(distinct, max_bits))
@@ -227,14 +235,16 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = member.join(least, "component").select("fp", "component_id")
     return (fp.join(by_fp, "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+            .select("doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group. Rows that
-    share that id are all kept; a group of null ids only is kept whole."""
+    """The rows of ``docs`` whose id is the smallest of its group. Rows of the
+    group that share that id are all kept; a group of null ids only is kept
+    whole."""
+    a, b = free_name(docs.columns, "sh_id"), free_name(docs.columns, "sh_key")
     keep = (simhash_groups(docs, id_col, text_col, **settings)
-            .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    name = free_name(docs.columns, "sh_keep")
-    keep = keep.select(F.col("doc_id").alias(name))
-    return docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")
+            .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias(a), F.col("text_key").alias(b)).distinct())
+    return docs.join(keep, (_text_key(text_col) == F.col(b)) & F.col(id_col).cast("long").eqNullSafe(F.col(a)),
+                     "left_semi")
