@@ -6,9 +6,9 @@ bounded, stratified sample of labelled rows (``Settings.toxic_examples`` and
 (chi-square of presence against label). Term weights are TF-IDF with document
 frequencies counted over all documents. The sampled examples form an inverted
 index whose postings are cut into blocks with the largest weight of each term
-per block: a document visits the blocks by descending score bound and stops
-when no block can still reach its ``k`` nearest examples, so the cosines of
-the nearest examples are exact. Their cosine-weighted vote, shrunk towards the
+per block: the blocks with the highest score bounds are searched first, then
+only those whose bound can still reach the ``k`` nearest examples, so the
+nearest examples and their cosines are exact. Their cosine-weighted vote, shrunk towards the
 base rate, is calibrated by a logistic curve fitted on further labelled rows
 (``calibration_rows``) that are not in the index. The nearest examples are the
 evidence of a score.
@@ -40,6 +40,7 @@ WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7)
 # A worker's memo of words is emptied beyond this many entries.
 MEMO_ENTRIES = 500_000
+PROBE = 8  # blocks that give the first bound of a search
 
 
 @dataclass(frozen=True)
@@ -147,7 +148,6 @@ class BlockMaxIndex:
     toxic: np.ndarray = field(init=False)
     rows: list = field(init=False)       # per term: example numbers, ascending
     weights: list = field(init=False)    # per term: their weights
-    starts: list = field(init=False)     # per term: first posting of each block
     maxima: np.ndarray = field(init=False)
 
     def vector(self, terms: list[int], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,8 +169,6 @@ class BlockMaxIndex:
                 post[t].append((row, w))
         self.rows = [np.array([r for r, _ in p], dtype=np.int64) for p in post]
         self.weights = [np.array([w for _, w in p]) for p in post]
-        edges = np.arange(blocks + 1) * self.block
-        self.starts = [np.searchsorted(r, edges) for r in self.rows]
         self.maxima = np.zeros((len(self.idf), blocks))
         for t, (r, w) in enumerate(zip(self.rows, self.weights)):
             np.maximum.at(self.maxima[t], r // self.block, w)
@@ -183,20 +181,26 @@ class BlockMaxIndex:
             return np.empty(0, dtype=np.int64), np.empty(0)
         t, w = self.vector(terms, counts)
         bound = w @ self.maxima[t]
-        rows, sims = np.empty(0, dtype=np.int64), np.empty(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(sims) >= k and bound[b] < sims[k - 1] - 1e-12):
-                break
-            acc = np.zeros(self.block)
-            for i, x in zip(t.tolist(), w.tolist()):
-                lo, hi = self.starts[i][b], self.starts[i][b + 1]
-                if lo < hi:
-                    acc[self.rows[i][lo:hi] - b * self.block] += x * self.weights[i][lo:hi]
-            near = np.flatnonzero(acc)
-            rows, sims = np.concatenate([rows, near + b * self.block]), np.concatenate([sims, acc[near]])
-            best = np.lexsort((self.ids[rows], -np.round(sims, 12)))[:k]
-            rows, sims = rows[best], sims[best]
-        return rows, sims
+        rows = np.concatenate([self.rows[i] for i in t])
+        parts = np.concatenate([self.weights[i] * x for i, x in zip(t, w)])
+        block = rows // self.block
+        live = bound > 0
+        if live.sum() > PROBE:
+            # the most promising blocks give a lower bound of the k-th cosine;
+            # blocks that cannot reach it are not looked at
+            probe = np.zeros(len(bound), dtype=bool)
+            probe[np.argpartition(-bound, PROBE)[:PROBE]] = True
+            on = probe[block]
+            s = np.bincount(rows[on], weights=parts[on], minlength=k)
+            live &= bound >= np.partition(s, len(s) - k)[len(s) - k] - 1e-12
+            on = live[block]
+            rows, parts = rows[on], parts[on]
+        cos = np.bincount(rows, weights=parts)
+        near = np.flatnonzero(cos)
+        if len(near) > k:
+            near = near[cos[near] >= np.partition(cos[near], len(near) - k)[len(near) - k] - 1e-12]
+        best = near[np.lexsort((self.ids[near], -np.round(cos[near], 12)))[:k]]
+        return best, cos[best]
 
 
 @dataclass
