@@ -23,7 +23,7 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_ROWS_PER_BATCH))
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None, compression: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back.
 
     Cuts the lineage: a lost executor re-reads files that every machine sees.
@@ -31,6 +31,8 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     spark = df.sparkSession
     path = scratch_path(spark, name)
     w = df.write.mode("overwrite")
+    if compression:
+        w = w.option("compression", compression)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
