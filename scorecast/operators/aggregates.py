@@ -67,7 +67,9 @@ def level_counts(df: DataFrame, col: str, k: int = 6, other: str = "(Other)") ->
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.col("n").desc(), F.col(col).asc()).limit(k)
-    rest = (counts.join(F.broadcast(top.select(col)), col, "left_anti")
+    # null-safe: a null level among the k must not come back in the rest
+    rest = (counts.join(F.broadcast(top.select(F.col(col).alias("__top"))),
+                        F.col(col).eqNullSafe(F.col("__top")), "left_anti")
             .agg(F.lit(other).alias("level"), F.sum("n").alias("n"))
             .where(F.col("n").isNotNull()))
     return top.select(F.col(col).cast("string").alias("level"), "n").unionByName(rest)

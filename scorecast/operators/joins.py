@@ -38,6 +38,9 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int, row_bytes: int = 64,
     return df
 
 
+ROWS_PER_BLOCK = 100_000  # of both sides of an as-of join, on average
+
+
 def left_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Left outer equi-join on key column(s)."""
     return left.join(right, on, "left")
@@ -55,9 +58,17 @@ def drop_keys(df: DataFrame, keys: DataFrame, on: str = "Id") -> DataFrame:
 
 def asof_join(left: DataFrame, right: DataFrame, time_col: str, by: list[str] | None = None,
               direction: str = "backward", value_cols: list[str] | None = None,
-              block: int | None = None) -> DataFrame:
+              block: int | None = None, tie_col: str | None = None) -> DataFrame:
     """As-of join of ``right``'s values onto every ``left`` row.
 
+    Right rows of one entity with equal times count once: the one with the
+    largest ``tie_col`` (without it, the largest values in column order), so
+    the result does not depend on the input's layout. Right rows without a
+    time match nothing; a left row without a time gets null values.
+    ``block`` is the width of the time blocks; by default the time span is cut
+    so that a block holds about ``ROWS_PER_BLOCK`` rows of both sides on
+    average.
+
     ``direction``: 'backward' (last right row with time <= left time),
     'forward' (first right row with time >= left time) or 'nearest'
     (smaller distance; ties go to the later right row).
@@ -73,8 +84,10 @@ def asof_join(left: DataFrame, right: DataFrame, time_col: str, by: list[str] |
         raise ValueError("direction must be backward, forward or nearest")
     by = list(by or [])
     value_cols = list(value_cols or [c for c in right.columns if c not in by + [time_col]])
+    right = _one_per_time(right, time_col, by, value_cols, tie_col)
+    block = block or _default_block(left, right, time_col)
     if direction == "nearest":
-        back = asof_join(left, right, time_col, by, "backward", value_cols, block)
+        back = _asof_one(right, time_col, by, "backward", value_cols, block, left, extra_prefix="")
         fwd = _asof_one(right, time_col, by, "forward", value_cols, block,
                         back, extra_prefix="__f_")
         # fwd holds back's columns plus __f_ values/time; choose the closer side
@@ -90,6 +103,22 @@ def asof_join(left: DataFrame, right: DataFrame, time_col: str, by: list[str] |
     return out.drop("__asof_time")
 
 
+def _one_per_time(right: DataFrame, time_col: str, by: list[str], value_cols: list[str],
+                  tie_col: str | None) -> DataFrame:
+    vals = F.struct(*[F.col(c) for c in value_cols])
+    pick = F.max_by(vals, F.struct(F.col(tie_col), vals)) if tie_col else F.max(vals)
+    return (right.where(F.col(time_col).isNotNull()).groupBy(*by, time_col).agg(pick.alias("__v"))
+            .select(*by, time_col, *[F.col(f"__v.{c}").alias(c) for c in value_cols]))
+
+
+def _default_block(left: DataFrame, right: DataFrame, time_col: str) -> int:
+    r = (left.select(time_col).unionByName(right.select(time_col))
+         .agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"), F.count(F.lit(1)).alias("n")).first())
+    if r["lo"] is None:
+        return 1
+    return max(1, -(-int(r["hi"] - r["lo"] + 1) // max(1, -(-r["n"] // ROWS_PER_BLOCK))))
+
+
 def _asof_one(right: DataFrame, time_col: str, by: list[str], direction: str,
               value_cols: list[str], block: int | None, left: DataFrame,
               extra_prefix: str) -> DataFrame:
@@ -105,11 +134,8 @@ def _asof_one(right: DataFrame, time_col: str, by: list[str], direction: str,
     pv = [f"{p}{c}" for c in vals]
     u = l_.unionByName(r, allowMissingColumns=True)
     # right rows sort before left rows at equal time for backward, after for forward
-    if block:
-        u = u.withColumn("__blk", F.floor(F.col("__t") / F.lit(block)).cast("long"))
-        part = by + ["__blk"]
-    else:
-        part = by
+    u = u.withColumn("__blk", F.floor(F.col("__t") / F.lit(block)).cast("long"))
+    part = by + ["__blk"]
     if direction == "backward":
         w = (Window.partitionBy(*part).orderBy(F.col("__t").asc(), F.col("__side").asc())
              .rowsBetween(Window.unboundedPreceding, 0))
@@ -121,29 +147,42 @@ def _asof_one(right: DataFrame, time_col: str, by: list[str], direction: str,
     st = F.struct(*[F.col(c) for c in pv]).alias("__s")
     u = u.withColumn("__s", F.when(F.col("__side") == 0, st))
     u = u.withColumn("__s", pick("__s", ignorenulls=True).over(w))
-    if block:
-        # per (entity, block) summary of the boundary value, carried across blocks
-        edge = F.max_by if direction == "backward" else F.min_by
-        summ = (u.where(F.col("__side") == 0)
-                .groupBy(*part)
-                .agg(edge(F.struct(*[F.col(c) for c in pv]), F.col("__t")).alias("__e")))
-        # every left block takes the edge value of the nearest right block
-        # before (backward) or after (forward) it; one row per entity and block
-        blocks = u.where(F.col("__side") == 1).select(*part).distinct()
-        allb = blocks.join(summ, part, "full")
-        ow = Window.partitionBy(*by).orderBy("__blk")
-        if direction == "backward":
-            carry = F.last("__e", ignorenulls=True).over(
-                ow.rowsBetween(Window.unboundedPreceding, -1))
-        else:
-            carry = F.first("__e", ignorenulls=True).over(
-                ow.rowsBetween(1, Window.unboundedFollowing))
-        allb = allb.withColumn("__carry", carry)
-        u = u.join(allb.select(*part, "__carry"), part, "left")
-        u = u.withColumn("__s", F.coalesce("__s", "__carry")).drop("__carry")
+    # per (entity, block) summary of the boundary value, carried across blocks
+    edge = F.max_by if direction == "backward" else F.min_by
+    summ = (u.where(F.col("__side") == 0)
+            .groupBy(*part)
+            .agg(edge(F.struct(*[F.col(c) for c in pv]), F.col("__t")).alias("__e")))
+    # every left block takes the edge value of the nearest right block
+    # before (backward) or after (forward) it; one row per entity and block
+    blocks = u.where(F.col("__side") == 1).select(*part).distinct()
+    allb = _null_safe_join(blocks, summ, part, "full")
+    ow = Window.partitionBy(*by).orderBy("__blk")
+    if direction == "backward":
+        carry = F.last("__e", ignorenulls=True).over(
+            ow.rowsBetween(Window.unboundedPreceding, -1))
+    else:
+        carry = F.first("__e", ignorenulls=True).over(
+            ow.rowsBetween(1, Window.unboundedFollowing))
+    allb = allb.withColumn("__carry", carry)
+    u = _null_safe_join(u, allb.select(*part, "__carry"), part, "left")
+    u = u.withColumn("__s", F.coalesce("__s", "__carry")).drop("__carry")
     res = u.where(F.col("__side") == 1)
     return res.select(*[F.col(c) for c in lcols],
-                      *[F.col(f"__s.{c}").alias(c) for c in pv])
+                      *[F.when(F.col("__t").isNotNull(), F.col(f"__s.{c}")).alias(c) for c in pv])
+
+
+def _null_safe_join(a: DataFrame, b: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Equi-join where null keys equal each other (a null entity is an entity)."""
+    r = b.select(*[F.col(c).alias(f"__r_{c}") for c in on], *[c for c in b.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    out = a.join(r, cond, how)
+    for c in on:
+        if how == "full":
+            out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__r_{c}")))
+        out = out.drop(f"__r_{c}")
+    return out
 
 
 def clamp(c: Column, lo, hi) -> Column:

@@ -29,6 +29,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorecast.session import partitions_for
+
 # --------------------------------------------------------------------------
 # penalties
 
@@ -118,13 +120,17 @@ class MeanRegressor(Estimator, HasLabelCol, HasPredictionCol, HasFeaturesCol):
 # pipelines over review features
 
 
+ALL_TERMS = 2**31 - 1  # the largest vocabulary Spark's vectoriser takes: no cap
+
+
 def text_pipeline(model, summary_col: str | None = "summary_terms",
                   text_col: str | None = "text_terms", numeric=(),
                   summary_min_df: float = 0.0005, text_min_df: float = 0.001,
-                  vocab_size: int = 1 << 22, scale: bool = True) -> Pipeline:
+                  vocab_size: int = ALL_TERMS, scale: bool = True) -> Pipeline:
     """CountVectorizer branches + numeric columns -> assembler -> max-abs
     scaler -> model (T4, T16, T17). ``maxDF`` is left at its default so every
-    common term is kept; ``vocabSize`` is raised explicitly."""
+    common term is kept; the vocabulary is bounded by the document frequency
+    thresholds only."""
     stages, inputs = [], []
     if summary_col:
         stages.append(CountVectorizer(inputCol=summary_col, outputCol="summary_dtm",
@@ -307,31 +313,51 @@ def max_abs_sparse(rows: DataFrame, dim: int, default: float = 1.0):
     return m
 
 
+def _pa_pass(ys, idx, val, w, b, scale, C, eps):
+    """One sequential PA-I pass; w is changed in place, the new b returned.
+    Every update depends on the one before, so this is a loop by nature."""
+    import numpy as np
+    for y, ix, xv in zip(ys, idx, val):
+        ix = np.asarray(ix, dtype=np.int64)
+        xv = np.asarray(xv, dtype=float) / scale[ix]
+        p = float(w[ix] @ xv) + b
+        loss = abs(y - p) - eps
+        if loss > 0:
+            step = math.copysign(min(C, loss / (float(xv @ xv) + 1.0)), y - p)
+            w[ix] += step * xv
+            b += step
+    return b
+
+
 class PassiveAggressiveRegressor:
     """PA-I regression (epsilon-insensitive loss, aggressiveness C) on sparse rows.
 
-    Each epoch broadcasts the current weights; every partition makes one
-    sequential pass over its rows (ordered by a hash of the key, so the
-    order does not depend on the input layout) and emits its sparse weight
-    change; the changes are summed per feature index by a grouped aggregate
-    and averaged over partitions (iterative parameter mixing). This is a
-    deterministic, distributed variant of the single-stream algorithm.
-    Features are divided by ``scale`` (max-abs) inside the task.
+    Rows are dealt by a hash of the key into blocks of about
+    ``rows_per_block`` rows and ordered by that hash, so neither the blocks nor
+    the order within them depend on the input's layout. Each epoch broadcasts
+    the current weights; every block makes one sequential pass and emits its
+    sparse weight change; each weight moves by the mean change of the blocks
+    that touched it (iterative parameter mixing). The model is a dense vector
+    of ``dim`` weights, which bounds what is broadcast and returned. Features
+    are divided by ``scale`` (max-abs) inside the task.
     """
 
     def __init__(self, dim: int, C: float = 1.0, epsilon: float = 0.1, epochs: int = 5,
-                 label: str = "label", key: str = "Id", scale=None):
+                 label: str = "label", key: str = "Id", scale=None, rows_per_block: int = 50_000):
         self.dim, self.C, self.epsilon, self.epochs = dim, C, epsilon, epochs
         self.label, self.key, self.scale = label, key, scale
+        self.rows_per_block = rows_per_block
 
     def fit(self, df: DataFrame, init=None) -> "PAModel":
         """``init`` = (w, b) continues from earlier weights (incremental use)."""
         import numpy as np
         spark = df.sparkSession
-        rows = (df.select(F.xxhash64(F.col(self.key)).alias("__o"),
+        blocks = partitions_for(df.count(), self.rows_per_block)
+        keyed = df.select(F.xxhash64(F.col(self.key)).alias("__o"), F.col(self.key).alias("__k"),
                           F.col(self.label).cast("double").alias("y"), "idx", "val")
-                .sortWithinPartitions("__o").persist(StorageLevel.MEMORY_AND_DISK))
-        n_parts = max(1, rows.rdd.getNumPartitions())
+        rows = (keyed.withColumn("__b", F.pmod(F.col("__o"), F.lit(blocks)))
+                .repartition(blocks, "__b").sortWithinPartitions("__b", "__o", "__k")
+                .persist(StorageLevel.MEMORY_AND_DISK))
         w = np.zeros(self.dim) if init is None else np.array(init[0], dtype=float)
         b = 0.0 if init is None else float(init[1])
         C, eps = self.C, self.epsilon
@@ -342,30 +368,30 @@ class PassiveAggressiveRegressor:
             def run(batches, bc=bc):
                 import numpy as np
                 import pandas as pd
+
+                def change(wl, bl, w0, b0):
+                    nz = np.flatnonzero(wl != w0)
+                    return pd.DataFrame({"i": np.append(nz, -1).astype(np.int64),
+                                         "d": np.append(wl[nz] - w0[nz], bl - b0)})
+
                 w0, b0, sc = bc.value
-                wl, bl = w0.copy(), b0
+                at, wl, bl = None, None, b0
                 for pdf in batches:
-                    for y, ix, xv in zip(pdf["y"].to_numpy(), pdf["idx"], pdf["val"]):
-                        ix = np.asarray(ix, dtype=np.int64)
-                        xv = np.asarray(xv, dtype=float) / sc[ix]
-                        p = float(wl[ix] @ xv) + bl
-                        loss = abs(y - p) - eps
-                        if loss > 0:
-                            tau = min(C, loss / (float(xv @ xv) + 1.0))
-                            step = tau if y > p else -tau
-                            wl[ix] += step * xv
-                            bl += step
-                d = wl - w0
-                nz = np.flatnonzero(d)
-                yield pd.DataFrame({"i": np.append(nz, -1).astype(np.int64),
-                                    "d": np.append(d[nz], bl - b0)})
-
-            # summed deltas come back through Arrow (model-sized, bounded by dim)
+                    for block, part in pdf.groupby("__b", sort=True):
+                        if block != at:
+                            if at is not None:
+                                yield change(wl, bl, w0, b0)
+                            at, wl, bl = block, w0.copy(), b0
+                        bl = _pa_pass(part["y"].to_numpy(), part["idx"], part["val"], wl, bl, sc, C, eps)
+                if at is not None:
+                    yield change(wl, bl, w0, b0)
+
+            # mean changes come back through Arrow (at most dim + 1 rows)
             delta = (rows.mapInPandas(run, "i long, d double").groupBy("i")
-                     .agg(F.sum("d").alias("d")).toPandas())
+                     .agg(F.avg("d").alias("d")).toPandas())
             ii, dd = delta["i"].to_numpy(), delta["d"].to_numpy()
-            b += float(dd[ii < 0].sum()) / n_parts
-            w[ii[ii >= 0]] += dd[ii >= 0] / n_parts
+            b += float(dd[ii < 0].sum())
+            w[ii[ii >= 0]] += dd[ii >= 0]
             bc.unpersist()
         rows.unpersist()
         return PAModel(w, b, scale)
@@ -376,18 +402,22 @@ class PAModel:
         self.w, self.b, self.scale = w, b, scale
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        """W . (x / scale) + b per row, weights broadcast (no literal)."""
+        """W . (x / scale) + b per row; one weighted count per batch."""
         spark = df.sparkSession
-        bc = spark.sparkContext.broadcast((self.w, self.b, self.scale))
-        cols = df.columns
-        schema = df.select(*cols).schema.simpleString()[len("struct<"):-1]
+        bc = spark.sparkContext.broadcast((self.w / self.scale, self.b))
+        schema = df.schema.simpleString()[len("struct<"):-1]
 
         def run(batches):
             import numpy as np
-            w, b, sc = bc.value
+            w, b = bc.value
             for pdf in batches:
-                pdf[out] = [float(w[np.asarray(ix, dtype=np.int64)]
-                                  @ (np.asarray(v, dtype=float) / sc[np.asarray(ix, dtype=np.int64)]))
-                            + b for ix, v in zip(pdf["idx"], pdf["val"])]
+                size = pdf["idx"].map(len).to_numpy(dtype=np.int64)
+                row = np.repeat(np.arange(len(pdf)), size)
+                if len(row):
+                    ix = np.concatenate(pdf["idx"].to_list()).astype(np.int64)
+                    part = w[ix] * np.concatenate(pdf["val"].to_list()).astype(float)
+                else:
+                    part = np.empty(0)
+                pdf[out] = np.bincount(row, weights=part, minlength=len(pdf)) + b
                 yield pdf
         return df.mapInPandas(run, f"{schema}, {out} double")

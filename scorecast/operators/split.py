@@ -34,10 +34,15 @@ def row_hash(key: str, seed: int | str) -> Column:
     return F.conv(F.substring(F.md5(s), 1, HASH_HEX), 16, 10).cast("long")
 
 
+def stratum_key(strata: str) -> Column:
+    """The stratum as a non-null string: null is a stratum like any other."""
+    return F.coalesce(F.concat(F.lit("="), F.col(strata).cast("string")), F.lit("null"))
+
+
 def _base(df: DataFrame, key: str, seed, strata: str | None) -> DataFrame:
     """The narrow (stratum, key, hash) projection every pass reads, cached
     once so the input's own lineage runs a single time."""
-    s_col = F.col(strata) if strata else F.lit(0)
+    s_col = stratum_key(strata) if strata else F.lit("")
     return df.select(s_col.alias("__s"), F.col(key).alias("__k"),
                      row_hash(key, seed).alias("__h")).persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -54,7 +59,7 @@ def select_cuts(base: DataFrame, strata: str | None, targets: dict) -> dict:
     the (hash, key) of the row at rank t in (hash, key) order. ``base`` is
     the projection from ``_base``."""
     spark = base.sparkSession
-    want = [(s if strata else 0, t) for s, ts in targets.items() for t in ts if t > 0]
+    want = [(s if strata else "", t) for s, ts in targets.items() for t in ts if t > 0]
     if not want:
         return {}
     # ---- pass 1: top 16 bits
@@ -127,7 +132,7 @@ def stratified_split(df: DataFrame, strata: str | None, train_frac: float, seed=
         t = ts[0]
         if t <= 0:
             continue
-        in_s = F.lit(True) if strata is None else (F.col(strata) == F.lit(s))
+        in_s = F.lit(True) if strata is None else (stratum_key(strata) == F.lit(s))
         cond = cond | (in_s & _le(h, k, cuts[s][t]))
     return df.withColumn(out, F.when(cond, F.lit("train")).otherwise(F.lit("test")))
 
@@ -145,7 +150,7 @@ def stratified_folds(df: DataFrame, strata: str | None, k: int = 5, seed=44,
     h, kc = row_hash(key, seed), F.col(key)
     fold = F.lit(0)
     for s, ts in targets.items():
-        in_s = F.lit(True) if strata is None else (F.col(strata) == F.lit(s))
+        in_s = F.lit(True) if strata is None else (stratum_key(strata) == F.lit(s))
         part = F.lit(0)
         for t in ts:
             if t <= 0:

@@ -207,32 +207,15 @@ def entity_counts(df: DataFrame, col: str, prefix: str, id_col: str = "Id") -> D
     return df.select(id_col, *cols)
 
 
-def tag_vocabulary(tagged: DataFrame, tags_col: str = "tags") -> list[str]:
-    """The train set's tag values (a bounded list: one entry per tag class)."""
-    return sorted(r[0] for r in tagged.select(F.explode(tags_col)).distinct().collect())
-
-
-def tag_counts(df: DataFrame, tags: Column, vocab: list[str], prefix: str,
-               id_col: str = "Id") -> DataFrame:
-    """A6 + U2: long tags -> wide per-row counts over a fixed vocabulary.
-
-    Every row is kept (rows with no tags get zeros), tags outside the
-    vocabulary are dropped and every vocabulary column exists - so train
-    and test built with the train vocabulary have identical columns. The
-    pivot is an aggregate per row over ``count_if`` expressions (no pivot
-    distinct job, no join back)."""
-    t = df.select(id_col, tags.alias("__tags"))
-    return t.select(id_col, *[
-        F.size(F.filter("__tags", _equals(v))).cast("long").alias(f"{prefix}_{_safe(v)}")
-        for v in vocab])
-
-
-def _equals(v):
-    # one-argument lambda (a second parameter would receive the element index)
-    def f(x):
-        return x == F.lit(v)
-    return f
-
-
-def _safe(v: str) -> str:
-    return re.sub(r"\W", "_", v)
+def tag_counts_long(df: DataFrame, tags_col: str, classes: list[str], vocab: DataFrame,
+                    keep=("Id",)) -> DataFrame:
+    """T8 + A6 + U2: one row per row and vocabulary tag, (keep..., tag, n),
+    zeros included. ``classes`` is the tagger's closed set of tags; ``vocab``
+    (one column ``tag``, e.g. the tags of the train half) says which of them
+    are counted, so tables counted over one vocabulary have equal tags."""
+    counted = (df.select(*keep, F.explode(F.array(*[F.lit(c) for c in classes])).alias("tag"),
+                         F.col(tags_col).alias("__tags"))
+               .select(*keep, "tag", F.size(F.filter("__tags", lambda x: x == F.col("tag"))).cast("long").alias("n")))
+    # at most one row per class
+    return counted.join(F.broadcast(vocab.where(F.col("tag").isin(classes)).select("tag").distinct()),
+                        "tag", "left_semi")

@@ -32,7 +32,7 @@ def require_cols(cols) -> list[str]:
     """At least one input column is required."""
     cols = list(cols or [])
     if not cols:
-        raise ValueError('Please provide at least one column name in "cols"')
+        raise ValueError("cols is empty: name the columns to aggregate")
     return cols
 
 

@@ -75,44 +75,51 @@ c AS (SELECT Id, CAST(Score AS DOUBLE) AS y,
       FROM d)""")
 
 
-def _one_feature(spark, sf_dir, alpha, l1, kind):
-    c = cl.clean_reviews(reviews(spark, sf_dir, supervised=True))
-    slope, icpt = md.fit_one_feature(c, "text_count", "Score", alpha, l1, kind)
-    return spark.createDataFrame([(round(slope, 6), round(icpt, 6))],
+def _one_feature(spark, sf_dir, alpha, l1, kind, digits=6):
+    c = cl.clean_reviews(reviews(spark, sf_dir, supervised=True)).withColumn("kwords", F.col("text_count") / 1000.0)
+    slope, icpt = md.fit_one_feature(c, "kwords", "Score", alpha, l1, kind)
+    return spark.createDataFrame([(round(slope, digits), round(icpt, digits))],
                                  "slope double, intercept double")
 
 
 def m4_ols_one_feature(spark, sf_dir):
-    """M4: least squares of the score on the text word count (normal equations)."""
+    """M4: least squares of the score on the text's thousands of words."""
     return _one_feature(spark, sf_dir, 0.0, 0.0, "enet")
 
 
-_M4_SQL = _CLEAN_SQL + """
-SELECT round(regr_slope(y, text_count), 6) AS slope,
-       round(regr_intercept(y, text_count), 6) AS intercept FROM c
-"""
+def m5_ridge_one_feature(spark, sf_dir):
+    """M5: ridge (alpha = 100 on the un-averaged loss) on thousands of words."""
+    return _one_feature(spark, sf_dir, 100.0, 0.0, "ridge")
 
 
-def m5_ridge_one_feature(spark, sf_dir):
-    """M5: ridge (alpha = 1000 on the un-averaged loss) on the text word count."""
-    return _one_feature(spark, sf_dir, 1000.0, 0.0, "ridge")
+def m6_lasso_one_feature(spark, sf_dir):
+    """M6: lasso (alpha = 0.01) on thousands of words (OWL-QN)."""
+    return _one_feature(spark, sf_dir, 0.01, 1.0, "enet", 4)
 
 
-_M5_SQL = _CLEAN_SQL + """
-, s AS (SELECT regr_sxy(y, text_count) / (regr_sxx(y, text_count) + 1000.0) AS b,
-               avg(y) AS my, avg(text_count) AS mx FROM c)
-SELECT round(b, 6) AS slope, round(my - b * mx, 6) AS intercept FROM s
+def m7_enet_one_feature(spark, sf_dir):
+    """M7: elastic net (alpha = 0.02, l1_ratio = 0.5) on thousands of words."""
+    return _one_feature(spark, sf_dir, 0.02, 0.5, "enet", 4)
+
+
+def _one_feature_sql(slope: str, digits: int) -> str:
+    """Closed form from the centred moments xx, xy of n rows."""
+    return _CLEAN_SQL + f"""
+, k AS (SELECT y, text_count / 1000.0 AS x FROM c),
+m AS (SELECT regr_sxx(y, x) AS xx, regr_sxy(y, x) AS xy, count(*) AS n, avg(y) AS my, avg(x) AS mx FROM k),
+s AS (SELECT {slope} AS b, my, mx FROM m)
+SELECT round(b, {digits}) AS slope, round(my - b * mx, {digits}) AS intercept FROM s
 """
 
 
-def m6_lasso_one_feature(spark, sf_dir):
-    """M6: lasso (alpha = 0.01) on the text word count (OWL-QN)."""
-    return _one_feature(spark, sf_dir, 0.01, 1.0, "enet")
+def _shrunk(alpha: float, l1: float) -> str:
+    return f"sign(xy) * greatest(abs(xy) / n - {alpha * l1}, 0) / (xx / n + {alpha * (1 - l1)})"
 
 
-def m7_enet_one_feature(spark, sf_dir):
-    """M7: elastic net (alpha = 0.01, l1_ratio = 0.5) on the text word count."""
-    return _one_feature(spark, sf_dir, 0.01, 0.5, "enet")
+_M4_SQL = _one_feature_sql("xy / xx", 6)
+_M5_SQL = _one_feature_sql("xy / (xx + 100.0)", 6)
+_M6_SQL = _one_feature_sql(_shrunk(0.01, 1.0), 4)
+_M7_SQL = _one_feature_sql(_shrunk(0.02, 0.5), 4)
 
 
 # ---- M3 / M12 / M15: linear grid with k-fold CV --------------------------------------
@@ -470,6 +477,8 @@ QUERIES = {
 ORACLES = {
     "M4_ols_one_feature": _M4_SQL,
     "M5_ridge_one_feature": _M5_SQL,
+    "M6_lasso_one_feature": _M6_SQL,
+    "M7_enet_one_feature": _M7_SQL,
     "A11_mean_predictor_rmse": _A11_SQL,
     "M16_oof_mean_predictor": _M16M_SQL,
     "A14_fold_rmse_mean_sd": _A14_SQL,

@@ -366,18 +366,17 @@ _S6_SQL = "SELECT count(*) AS n_rows FROM documents"
 
 # ---- T8 / T9 / A6 / U2 / P13 ---------------------------------------------------------
 def t8_tag_counts_aligned(spark, sf_dir):
-    """M1 + T8 + A6 + U2 + P13: token-shape tags of summaries, tag vocabulary
-    from the train half, per-row counts for train and test over that vocabulary."""
+    """M1 + T8 + A6 + U2: token-shape tags of summaries, tag vocabulary from
+    the train half, counts of every vocabulary tag (zeros included) for every
+    train and test row, in long form."""
     lab = sp.stratified_split(reviews(spark, sf_dir, supervised=True), "Score", 0.5, SEED)
     tagged = lab.select("Id", "split", tf.shape_tagger("Summary").alias("tags"))
-    vocab = tf.tag_vocabulary(tagged.where(F.col("split") == "train"))
-    counts = tf.tag_counts(tagged, F.col("tags"), vocab, "Summary")
-    return counts.join(lab.select("Id", "split"), "Id")
+    vocab = tagged.where(F.col("split") == "train").select(F.explode("tags").alias("tag")).distinct()
+    classes = [name for name, _ in tf.SHAPE_TAGS] + ["OTHER"]
+    return tf.tag_counts_long(tagged, "tags", classes, vocab, ("Id", "split")).select("Id", "split", "tag", "n")
 
 
 def _t8_sql():
-    # the column set is the train half's tag vocabulary (data-dependent), so
-    # the oracle pivots a zero-filled long table over that vocabulary
     sw = _sql_str_list(tx.english_stop_words())
     case = "CASE " + " ".join(
         f"WHEN regexp_matches(x, '{p}') THEN '{n}'" for n, p in tf.SHAPE_TAGS) + " ELSE 'OTHER' END"
@@ -385,11 +384,9 @@ def _t8_sql():
 , tk AS (SELECT Id, split, list_filter(regexp_extract_all(Summary, '{_W1}'),
                                        lambda x: NOT list_contains({sw}, lower(x))) AS t FROM split),
 tg AS (SELECT Id, split, list_transform(t, lambda x: {case}) AS tags FROM tk),
-vocab AS (SELECT DISTINCT unnest(tags) AS tag FROM tg WHERE split = 'train'),
-long AS (SELECT tg.Id, tg.split, 'Summary_' || vocab.tag AS col,
-                CAST(len(list_filter(tg.tags, lambda x: x = vocab.tag)) AS BIGINT) AS n
-         FROM tg CROSS JOIN vocab)
-PIVOT long ON col USING first(n) GROUP BY Id, split
+vocab AS (SELECT DISTINCT unnest(tags) AS tag FROM tg WHERE split = 'train')
+SELECT tg.Id, tg.split, vocab.tag, CAST(len(list_filter(tg.tags, lambda x: x = vocab.tag)) AS BIGINT) AS n
+FROM tg CROSS JOIN vocab
 """
 
 

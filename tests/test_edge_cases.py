@@ -118,12 +118,63 @@ def test_asof_join_matches_brute_force(spark):
 
 def test_tag_alignment(spark):
     train = spark.createDataFrame([(1, ["A", "B"]), (2, ["A"])], "Id long, tags array<string>")
-    test = spark.createDataFrame([(3, ["C", "A"]), (4, [])], "Id long, tags array<string>")
-    vocab = tf.tag_vocabulary(train)
-    assert vocab == ["A", "B"]
-    out = {r.Id: r for r in tf.tag_counts(test, F.col("tags"), vocab, "S").collect()}
-    assert set(out[3].asDict()) == {"Id", "S_A", "S_B"}
-    assert (out[3].S_A, out[3].S_B) == (1, 0) and (out[4].S_A, out[4].S_B) == (0, 0)
+    test = spark.createDataFrame([(3, ["C", "A"]), (4, []), (5, None)], "Id long, tags array<string>")
+    vocab = train.select(F.explode("tags").alias("tag"))
+    out = sorted((r.Id, r.tag, r.n) for r in tf.tag_counts_long(test, "tags", ["A", "B", "C"], vocab).collect()
+                 if r.Id != 5)
+    assert out == [(3, "A", 1), (3, "B", 0), (4, "A", 0), (4, "B", 0)]
+
+
+def test_asof_ties_nearest_and_null_keys(spark):
+    rnd = random.Random(5)
+    left = [(i, rnd.choice([0, 1, None]), rnd.randint(0, 40)) for i in range(80)] + [(99, 0, None)]
+    right = [(rnd.choice([0, 1, None]), rnd.randint(0, 40), float(i)) for i in range(120)] + [(0, None, -1.0)]
+
+    def brute(direction):
+        out = {}
+        for lid, u, t in left:
+            c = [(rt, v) for ru, rt, v in right if ru == u and rt is not None and t is not None]
+            if direction == "backward":
+                c = [x for x in c if x[0] <= t]
+            elif direction == "forward":
+                c = [x for x in c if x[0] >= t]
+            key = {"backward": lambda x: (x[0], x[1]), "forward": lambda x: (-x[0], x[1]),
+                   "nearest": lambda x: (-abs(x[0] - t), x[0], x[1])}[direction]
+            out[lid] = max(c, key=key)[1] if c else None
+        return out
+
+    for direction in ("backward", "forward", "nearest"):
+        for parts, block in ((1, None), (7, 6), (13, 1)):
+            L = spark.createDataFrame(left, "Id long, u long, t long").repartition(parts)
+            R = spark.createDataFrame(right, "u long, t long, val double").repartition(parts)
+            got = {r.Id: r.val for r in jn.asof_join(L, R, "t", ["u"], direction, ["val"], block=block,
+                                                     tie_col="val").collect()}
+            assert got == brute(direction), (direction, parts)
+
+
+def test_level_counts_with_nulls(spark):
+    from scorecast.operators.aggregates import level_counts
+    df = spark.createDataFrame([("a",), ("a",), (None,), (None,), (None,), ("b",)], "v string")
+    got = {r.level: r.n for r in level_counts(df, "v", 2).collect()}
+    assert got == {None: 3, "a": 2, "(Other)": 1}
+
+
+def test_null_stratum_is_split_and_folded(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else 1) for i in range(20)], "Id long, Score int")
+    s = sp.stratified_split(df, "Score", 0.5).groupBy("Score", "split").count().collect()
+    assert {(r.Score, r.split): r["count"] for r in s} == {(None, "train"): 5, (None, "test"): 5, (1, "train"): 5,
+                                                           (1, "test"): 5}
+    f = sp.stratified_folds(df, "Score", 5).groupBy("Score", "fold").count().collect()
+    assert sorted(r["count"] for r in f) == [2] * 10
+
+
+def test_csv_inference_reads_all_rows(spark, tmp_path):
+    from scorecast.sources import files
+    path = str(tmp_path / "csv")
+    rows = [(i, 3_000_000_000 if i == 4321 else 5) for i in range(5000)]
+    files.write_csv(spark.createDataFrame(rows, "Id long, v long"), path)
+    df = files.read_csv_inferred(spark, path)
+    assert dict(df.dtypes)["v"] == "bigint" and df.agg(F.max("v")).first()[0] == 3_000_000_000
 
 
 def test_vocabulary_min_df_and_tfidf_every_doc(spark):

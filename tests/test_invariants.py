@@ -100,6 +100,45 @@ def test_passive_aggressive_learns(spark):
     assert rmse < base
 
 
+def _pa_data(spark, n=2000):
+    import random
+    rnd = random.Random(1)
+    rows = []
+    for i in range(n):
+        idx = sorted(rnd.sample(range(40), 5))
+        rows.append((i, sum((j % 7) * 0.2 - 0.5 for j in idx) + 3.0, idx, [1.0] * 5))
+    return spark.createDataFrame(rows, "Id long, label double, idx array<bigint>, val array<double>")
+
+
+def test_passive_aggressive_does_not_depend_on_layout(spark):
+    df = _pa_data(spark)
+    for rows_per_block, most in ((50_000, 0.15), (100, 0.25)):
+        out = []
+        for parts in (1, 64, 512):
+            m = md.PassiveAggressiveRegressor(40, C=1.0, epochs=3, rows_per_block=rows_per_block).fit(df.repartition(parts))
+            out.append(md.rmse_of(m.transform(df)))
+        assert max(out) - min(out) < 1e-9 and max(out) < most
+
+
+def test_online_model_state_survives_a_restart(spark, tmp_path):
+    from scorecast.plans.io_stream import OnlineModel
+    df = _pa_data(spark, 600)
+    batches = [df.where(F.col("Id") % 3 == i) for i in range(3)]
+    one = OnlineModel(spark, str(tmp_path / "one"), 40)
+    for i, b in enumerate(batches):
+        one.apply(b, i)
+    two = OnlineModel(spark, str(tmp_path / "two"), 40)
+    two.apply(batches[0], 0)
+    two = OnlineModel(spark, str(tmp_path / "two"), 40)  # a new driver
+    two.apply(batches[0], 0)                             # a replayed batch
+    two.apply(batches[1], 1)
+    two = OnlineModel(spark, str(tmp_path / "two"), 40)
+    two.apply(batches[2], 2)
+    a, b = one.model(), two.model()
+    assert one.batches() == two.batches() == 3 and abs(a.b - b.b) < 1e-12 and abs(a.w - b.w).max() < 1e-12
+    assert md.rmse_of(a.transform(df)) < 0.3
+
+
 def test_top_k_per_group_salted_equals_plain(spark):
     rows = [(g, i, float((i * 7919) % 101)) for g in range(3) for i in range(500)]
     df = spark.createDataFrame(rows, "g int, Id long, v double")
