@@ -158,7 +158,7 @@ def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", *, k: int = 20,
-            trees: int = 8, leaf: int = 128, search_share: float = 0.8, search_least: int = 4000, seed: int = 5) -> DataFrame:
+            trees: int = 8, leaf: int = 128, search_share: float = 1.0, search_least: int = 4000, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row that
     fits ``is_query`` (a condition on ``id``), by largest inner product.
 
