@@ -181,7 +181,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     store = LineRuns(fanout)
     for i in range(len(cuts) + 1):
         store.add(hashes.filter(F.col("batch") == i).select("k1", "k2", "id"))
-    common = store.totals().filter(F.col("n") >= min_docs).select("k1", "k2", "keeper")
+    # written first: a join of two plain tables can be split where one line is hot
+    common = written(store.totals().filter(F.col("n") >= min_docs).select("k1", "k2", "keeper"), "common-lines")
     drops = (hashes.join(common, ["k1", "k2"])
              .filter(~F.col("id").eqNullSafe(F.col("keeper")))
              .groupBy("id", "th").agg(F.collect_set("k1").alias("drop")))
