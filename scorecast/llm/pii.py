@@ -39,7 +39,9 @@ PATTERNS = {
     "card": r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){15,}+",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # consumes the first four characters only and captures the longest candidate,
+    # which may run into the next words; ``_iban`` looks for its end
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}))[A-Z]{2}[0-9]{2}",
     "secret": r"(?i)(?<![a-z0-9])(?:token|secret|password|api[_-]?key)\x20{0,2}[=:]\x20{0,2}[\x22']?[A-Za-z0-9+/_-]{16,}+",
 }
 BASE = ("email", "ip", "card", "phone")
@@ -57,6 +59,14 @@ CONTEXT = {
 }
 CONTEXT_CHARS = 40
 
+# fixed values: length of an IBAN -> country codes
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
 
 @dataclass(frozen=True)
 class Gate:
@@ -113,16 +123,47 @@ def confirmed(kind: str, match: Column) -> Column:
         return F.length(d).between(16, 19) & luhn(F.substr(d, F.lit(1), F.lit(19)))
     if kind == "phone":
         return F.length(_digits(match)).between(8, 15)
-    if kind == "iban":
-        bare = F.regexp_replace(match, " ", "")
-        return F.length(bare).between(15, 34) & mod97(bare)
     return F.lit(True)
 
 
+def _iban(text: Column, located: Column) -> Column:
+    """Candidates cut at an end that mod-97 confirms, without overlap.
+
+    An end stands before a blank of the candidate, or is its last character
+    with no letter or digit behind. The end that gives the country's length is
+    taken first, else the longest; candidates without an end are dropped.
+    """
+    country = F.create_map(*[F.lit(x) for n, codes in IBAN_LENGTHS.items() for c in codes.split() for x in (c, n)])
+
+    def cut(s: Column) -> Column:
+        match = s["match"]
+        last = F.length(match)
+        closed = ~F.substr(text, s["start"] + last + 1, F.lit(1)).rlike("[A-Za-z0-9]")
+
+        def bare(e: Column) -> Column:
+            return F.regexp_replace(F.substr(match, F.lit(1), e), " ", "")
+
+        ends = F.filter(F.sequence(F.lit(15), last), lambda e: (
+            ((e < last) & (F.substr(match, e + 1, F.lit(1)) == " ")) | ((e == last) & closed))
+            & F.length(bare(e)).between(15, 34) & mod97(bare(e)))
+        usual = F.try_element_at(country, F.substr(match, F.lit(1), F.lit(2)))
+        best = F.array_max(F.transform(ends, lambda e: F.struct(
+            F.coalesce(F.length(bare(e)) == usual, F.lit(False)).alias("usual"), e.alias("end"))))
+        return F.struct(s["start"].alias("start"), F.substr(match, F.lit(1), best["end"]).alias("match"))
+
+    def add(acc: Column, s: Column) -> Column:
+        before = F.try_element_at(acc, F.lit(-1))
+        free = (F.size(acc) == 0) | (s["start"] >= before["start"] + F.length(before["match"]))
+        return F.when(free, F.concat(acc, F.array(s))).otherwise(acc)
+
+    valid = F.filter(F.transform(located, cut), lambda s: s["match"].isNotNull())
+    return F.aggregate(valid, F.array().cast("array<struct<start:int,match:string>>"), add)
+
+
 def _spans(text: Column, kind: str, found: Column, between: Column) -> Column:
     """array<struct<kind,start,end,score>> of the confirmed matches."""
     lengths = F.zip_with(F.transform(F.slice(between, 1, F.size(found)), lambda x: F.length(x)),
-                         F.transform(found, lambda x: F.length(x)),
+                         F.transform(found, lambda x: F.lit(4) if kind == "iban" else F.length(x)),
                          lambda a, b: F.struct(a.alias("gap"), b.alias("len")))
 
     def one(i: Column) -> Column:
@@ -131,7 +172,7 @@ def _spans(text: Column, kind: str, found: Column, between: Column) -> Column:
         return F.struct(start.alias("start"), F.get(found, i - 1).alias("match"))
 
     located = F.transform(F.sequence(F.lit(1), F.size(found)), one)
-    kept = F.filter(located, lambda s: confirmed(kind, s["match"]))
+    kept = _iban(text, located) if kind == "iban" else F.filter(located, lambda s: confirmed(kind, s["match"]))
 
     def scored(s: Column) -> Column:
         start, end = s["start"], s["start"] + F.length(s["match"])
@@ -161,7 +202,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataF
     gate = Gate(text.contains("@"), text.rlike("[0-9]"))
     none = F.array().cast("array<string>")
     df = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias(t))
-    df = df.select("*", *[F.when(gate.of(k, text), F.regexp_extract_all(text, F.lit(PATTERNS[k]), 0))
+    df = df.select("*", *[F.when(gate.of(k, text), F.regexp_extract_all(text, F.lit(PATTERNS[k]), 1 if k == "iban" else 0))
                           .otherwise(none).alias(m[k]) for k in kinds])
     df = df.select("*", *[F.when(F.size(m[k]) > 0, F.split(text, PATTERNS[k], -1)).otherwise(none).alias(p[k])
                           for k in kinds])
