@@ -1,10 +1,11 @@
 """Licence recognition by sentences and ordered rules (built-in functions only).
 
-A text is cut into sentences (at line ends and after full stops), a sentence
-is normalised (lower case, runs of other characters than letters and digits
-become one blank) and mapped to the identifier of a known licence sentence.
-Sentences wrapped over lines are found by a second cut that joins lines. The
-identifiers of a text, in order, are then matched against ordered rules: a
+A text is cut at line ends, after full stops and after the list marks of lines
+(``1.``, ``2)``, ``(c)``); the pieces are normalised (lower case, runs of other
+characters than letters and digits become one blank). A known licence sentence
+is a run of whole pieces with its words, so it may be wrapped over lines or
+paragraphs and stand below a heading; where several start with one piece the
+longest is taken. The identifiers of a text, in order, are then matched against ordered rules: a
 rule is a sequence of identifiers that must stand side by side; rules are
 tried in their order (longest first) and take their identifiers away from
 later ones.
@@ -31,6 +32,8 @@ SENTENCES = {
     "mit-licensed": "licensed under the mit license",
     "apache-licensed": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
     "apache-copy": "you may obtain a copy of the license at http www apache org licenses license 2 0",
+    "apache-copy-https": "you may obtain a copy of the license at https www apache org licenses license 2 0",
+    "apache-title": "apache license version 2 0 january 2004",
     "apache-as-is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "apache-see": "see the license for the specific language governing permissions and limitations under the license",
     "apache-named": "licensed under the apache license version 2 0",
@@ -39,14 +42,28 @@ SENTENCES = {
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-see": "see the gnu general public license for more details",
     "gpl-copy": "you should have received a copy of the gnu general public license along with this program",
+    "gpl2-copy": "you should have received a copy of the gnu general public license along with this program if not write to the free software foundation inc 51 franklin street fifth floor boston ma 02110 1301 usa",
+    "gpl3-title": "gnu general public license version 3 29 june 2007",
+    "gpl2-title": "gnu general public license version 2 june 1991",
+    "lgpl-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-see": "see the gnu lesser general public license for more details",
+    "agpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-see": "see the gnu affero general public license for more details",
+    "agpl-copy": "you should have received a copy of the gnu affero general public license along with this program",
     "gpl3-named": "this work is licensed under the gnu general public license version 3",
     "gpl2-named": "this work is licensed under the gnu general public license version 2",
     "bsd-allowed": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "bsd-names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-as-is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsd-liability": "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
     "mpl-terms": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "mpl-copy": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "isc-liability": "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
     "cc-by": "licensed under cc by 4 0",
     "cc-by-sa": "licensed under cc by sa 4 0",
     "cc-by-nc": "licensed under cc by nc 4 0",
@@ -61,8 +78,19 @@ SENTENCES = {
 RULES = [
     ("MIT", ["mit-grant", "mit-warranty", "mit-liability"]),
     ("Apache-2.0", ["apache-licensed", "apache-copy", "apache-as-is", "apache-see"]),
+    ("Apache-2.0", ["apache-licensed", "apache-copy-https", "apache-as-is", "apache-see"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-hope", "gpl-see", "gpl-copy"]),
+    ("AGPL-3.0-or-later", ["agpl-free", "gpl-hope", "agpl-see", "agpl-copy"]),
+    ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope", "gpl-see", "gpl2-copy"]),
     ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope", "gpl-see", "gpl-copy"]),
+    ("LGPL-2.1-or-later", ["lgpl-free", "lgpl-hope", "lgpl-see"]),
+    ("BSD-3-Clause", ["bsd-allowed", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is", "bsd-liability"]),
+    ("BSD-2-Clause", ["bsd-allowed", "bsd-source", "bsd-binary", "bsd-as-is", "bsd-liability"]),
+    ("BSD-3-Clause", ["bsd-allowed", "bsd-source", "bsd-binary", "bsd-names"]),
+    ("ISC", ["isc-grant", "isc-as-is", "isc-liability"]),
+    ("GPL-3.0-or-later", ["gpl-free", "gpl-hope", "gpl-see"]),
+    ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope", "gpl-see"]),
+    ("AGPL-3.0-or-later", ["agpl-free", "gpl-hope", "agpl-see"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-hope"]),
     ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope"]),
     ("BSD-2-Clause", ["bsd-allowed", "bsd-source", "bsd-binary"]),
@@ -70,6 +98,8 @@ RULES = [
     ("Apache-2.0", ["apache-licensed"]),
     ("GPL-3.0-or-later", ["gpl-free"]),
     ("GPL-2.0-or-later", ["gpl2-free"]),
+    ("AGPL-3.0-or-later", ["agpl-free"]),
+    ("LGPL-2.1-or-later", ["lgpl-free"]),
     ("MPL-2.0", ["mpl-terms"]),
     ("MIT", ["mit-grant"]),
     ("ISC", ["isc-grant"]),
@@ -78,6 +108,9 @@ RULES = [
     ("MIT", ["spdx-mit"]),
     ("Apache-2.0", ["apache-named"]),
     ("Apache-2.0", ["spdx-apache"]),
+    ("Apache-2.0", ["apache-title"]),
+    ("GPL-3.0", ["gpl3-title"]),
+    ("GPL-2.0", ["gpl2-title"]),
     ("GPL-3.0", ["gpl3-named"]),
     ("GPL-2.0", ["gpl2-named"]),
     ("GPL-3.0-or-later", ["spdx-gpl3"]),
@@ -92,14 +125,24 @@ RULES = [
 MARKS = ("licen", "copyright", "warrant", "redistribut", "mpl", "cc0", "liab")
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
+CUT = "\x01"  # between the pieces of a text
+LIST_MARK = r"(?m)^([^\p{L}\p{N}\n\r]*(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)])\s+"
 
 
-def _identifiers(sentences: Column) -> Column:
+def pieces(text: Column) -> Column:
+    """The normalised pieces of a text, each framed by ``CUT``."""
+    t = F.regexp_replace(F.lower(F.translate(text, CUT, " ")), LIST_MARK, f"$1{CUT}")
+    t = F.regexp_replace(F.regexp_replace(t, r"[\n\r]+|(?<=\.)\s+", CUT), rf"[^\p{{L}}\p{{N}}{CUT}]+", " ")
+    return F.regexp_replace(F.concat(F.lit(CUT), t, F.lit(CUT)), f" ?{CUT}[ {CUT}]*", CUT)
+
+
+def _identifiers(text: Column) -> Column:
     """Space-framed identifiers of the known sentences, in order."""
     known = F.create_map(*[F.lit(x) for k, v in SENTENCES.items() for x in (v, k)])
-    ids = F.filter(F.transform(sentences, lambda s: F.try_element_at(known, normalised(s))), lambda x: x.isNotNull())
+    longest = sorted(SENTENCES.values(), key=lambda v: (-len(v), v))
+    any_of = "|".join(v.replace(" ", f"[ {CUT}]") for v in longest)
+    found = F.regexp_extract_all(pieces(text), F.lit(f"(?<={CUT})(?:{any_of})(?={CUT})"), 0)
+    ids = F.transform(found, lambda s: F.element_at(known, F.translate(s, CUT, " ")))
     return F.concat(F.lit(" "), F.array_join(ids, "  "), F.lit(" "))
 
 
@@ -130,12 +173,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         marked = marked | low.contains(m)
     src = (docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
            .filter(marked))
-    by_line = F.split("t", r"[\n\r]+|(?<=\.)\s+", -1)
-    joined = F.split("t", r"(?<=\.)\s+", -1)
-    two = (src.select("doc_id", _identifiers(by_line).alias("a"), _identifiers(joined).alias("b"))
-           .select("doc_id", F.when(F.length("b") > F.length("a"), F.col("b")).otherwise(F.col("a")).alias("ids"))
-           .filter(F.trim("ids") != ""))
-    found = two.select("doc_id", "ids", _matched(F.col("ids")).alias("m"))
+    known = src.select("doc_id", _identifiers(F.col("t")).alias("ids")).filter(F.trim("ids") != "")
+    found = known.select("doc_id", "ids", _matched(F.col("ids")).alias("m"))
     rest = F.size(F.filter(F.split(F.replace(F.col("m.left"), F.lit("|"), F.lit(" ")), " +"), lambda x: x != ""))
     unresolved = F.when(rest > 0, F.array(F.struct(F.lit("unresolved").alias("license"), rest.alias("n")))).otherwise(
         F.array().cast("array<struct<license:string,n:int>>"))
