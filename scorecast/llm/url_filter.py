@@ -6,9 +6,10 @@ smoothed variable-order Markov models of characters, one of accepted and one
 of rejected urls (those that the rules allow or block). A model interpolates
 the orders 0 to ``ORDER`` by Witten-Bell smoothing. The score of a url is the
 log-likelihood difference (rejected minus accepted) per character. It is
-calibrated on the labelled urls of a held-out fold by a logistic curve, fitted
-to a histogram of fixed bins; urls with a probability of rejection of at least
-``block_at`` are blocked.
+calibrated by a logistic curve, fitted to a histogram of fixed bins; urls with a
+probability of rejection of at least ``block_at`` are blocked. The calibration is
+cross-fitted: the labelled urls of each fold are scored by models of the other
+folds. The final models count all labelled rows and read whole urls as given.
 
 Everything the models know are counts of character n-grams over all labelled
 urls, kept as distributed tables: a url is the sum of the log ratios of its
@@ -36,7 +37,8 @@ from scorecast.llm.common import free_name, written
 ORDER = 5
 START, END = "\x02", "\x03"
 ALPHABET = 1 << 16  # uniform base of the interpolation
-FOLDS = 5           # one of so many folds of the labelled urls calibrates
+FOLDS = 5           # folds of the labelled urls, for the calibration
+FINAL = -1          # the model that leaves out no fold
 BINS, BIN = 800, 0.01
 
 
@@ -62,39 +64,38 @@ def rule_column(host: Column, path: Column, rules: list[tuple[str, str]]) -> Col
     return out
 
 
-def _canonical(host: Column, path: Column) -> Column:
-    """What the models see: digits carry no information of their own."""
-    return F.regexp_replace(F.concat(host, path), "[0-9]+", "0")
-
-
 def _windows(text: Column) -> Column:
     """One (ORDER + 1)-gram per character, the end mark included."""
     framed = F.concat(F.lit(START * ORDER), text, F.lit(END))
     return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substr(framed, i, F.lit(ORDER + 1)))
 
 
-def log_ratios(grams: DataFrame) -> DataFrame:
-    """(gram, ratio): log P(last char | rejected) - log P(... | accepted).
+def log_ratios(grams: DataFrame, by: tuple[str, ...] = (), wanted: Column | None = None) -> DataFrame:
+    """(by..., gram, ratio): log P(last char | rejected) - log P(... | accepted).
 
     ``grams``: (gram, accepted, rejected) with one row per distinct full
     window; both counts are 0 for windows of unlabelled urls only. The counts
     of the shorter grams are sums over the full windows that end with them.
+    ``by`` names columns that tell models apart; only ``wanted`` rows get a
+    ratio, all are counted.
     """
     width = ORDER + 1
     counted = grams.filter("accepted + rejected > 0")
     shorter = F.transform(F.sequence(F.lit(1), F.lit(width)),
                           lambda n: F.struct(n.alias("n"), F.substr(F.col("gram"), width - n + 1, n).alias("g")))
-    by_gram = written(counted.select(F.explode(shorter).alias("x"), "accepted", "rejected")
-                      .groupBy(F.col("x.n").alias("n"), F.col("x.g").alias("g"))
+    by_gram = written(counted.select(*by, F.explode(shorter).alias("x"), "accepted", "rejected")
+                      .groupBy(*by, F.col("x.n").alias("n"), F.col("x.g").alias("g"))
                       .agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r")), "url-grams")
-    by_context = (by_gram.groupBy("n", F.substr("g", F.lit(1), F.col("n") - 1).alias("ctx"))
+    by_context = (by_gram.groupBy(*by, "n", F.substr("g", F.lit(1), F.col("n") - 1).alias("ctx"))
                   .agg(F.sum("a").alias("na"), F.sum("r").alias("nr"),
                        F.sum((F.col("a") > 0).cast("long")).alias("ta"),
                        F.sum((F.col("r") > 0).cast("long")).alias("tr")))
-    parts = (grams.select("gram", F.explode(shorter).alias("x")).select("gram", F.col("x.n").alias("n"), F.col("x.g").alias("g"))
+    asked = grams if wanted is None else grams.filter(wanted)
+    parts = (asked.select(*by, "gram", F.explode(shorter).alias("x"))
+             .select(*by, "gram", F.col("x.n").alias("n"), F.col("x.g").alias("g"))
              .withColumn("ctx", F.substr("g", F.lit(1), F.col("n") - 1))
-             .join(by_gram, ["n", "g"], "left").join(by_context, ["n", "ctx"], "left"))
-    orders = parts.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct(  # ORDER + 1 rows
+             .join(by_gram, [*by, "n", "g"], "left").join(by_context, [*by, "n", "ctx"], "left"))
+    orders = parts.groupBy(*by, "gram").agg(F.array_sort(F.collect_list(F.struct(  # ORDER + 1 rows
         "n", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("a", "r", "na", "nr", "ta", "tr")]))).alias("o"))
 
     def smooth(c: str, n: str, t: str) -> Column:
@@ -102,7 +103,7 @@ def log_ratios(grams: DataFrame) -> DataFrame:
             return F.when(x[n] > 0, (x[c] + x[t] * p) / (x[n] + x[t])).otherwise(p)
         return F.aggregate("o", F.lit(1.0 / ALPHABET), step)
 
-    return orders.select("gram", (F.log(smooth("r", "nr", "tr")) - F.log(smooth("a", "na", "ta"))).alias("ratio"))
+    return orders.select(*by, "gram", (F.log(smooth("r", "nr", "tr")) - F.log(smooth("a", "na", "ta"))).alias("ratio"))
 
 
 def _logistic(hist: list[tuple[float, float, float]]) -> tuple[float, float]:
@@ -134,29 +135,38 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     hit, key = free_name(pages.columns, "uf_hit"), free_name(pages.columns, "uf_key")
     base = pages.select(*keep).withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
     base = base.withColumn(hit, rule_column(F.col("host"), F.col("path"), rules))
-    base = base.withColumn(key, _canonical(F.col("host"), F.col("path")))
+    base = base.withColumn(key, F.coalesce(F.col(url_col), F.lit("")))
     label = F.col(f"{hit}.verdict")
     # repeated urls are counted once per row, but scored once
     urls = written(base.groupBy(F.col(key).alias("u")).agg(
         F.sum((label == "allow").cast("long")).alias("accepted"),
         F.sum((label == "block").cast("long")).alias("rejected"))
-        .withColumn("fit", F.pmod(F.xxhash64("u"), F.lit(FOLDS)) != 0).fillna(0), "urls")
-    seen = urls.agg(F.sum("accepted"), F.sum("rejected")).first()
-    if not seen[0] or not seen[1]:
+        .withColumn("fold", F.pmod(F.xxhash64("u"), F.lit(FOLDS)).cast("int")).fillna(0), "urls")
+    seen = {r["fold"]: (r["a"], r["r"]) for r in urls.groupBy("fold").agg(
+        F.sum("accepted").alias("a"), F.sum("rejected").alias("r")).collect()}  # at most FOLDS rows
+    n_accepted, n_rejected = sum(a for a, _ in seen.values()), sum(r for _, r in seen.values())
+    if not n_accepted or not n_rejected:
         return base.select(*keep, "host", "path", F.col(f"{hit}.rule").alias("rule"),
                            F.coalesce(label, F.lit("allow")).alias("verdict"),
                            F.lit(None).cast("double").alias("llr"), F.lit(None).cast("double").alias("p_block"))
-    fit = F.col("fit").cast("long")
-    grams = (urls.select(F.explode(_windows(F.col("u"))).alias("gram"), (F.col("accepted") * fit).alias("a"),
-                         (F.col("rejected") * fit).alias("r"))
-             .groupBy("gram").agg(F.sum("a").alias("accepted"), F.sum("r").alias("rejected")))
-    ratios = log_ratios(written(grams, "url-windows"))
-    scored = (urls.select("u", "accepted", "rejected", "fit", F.explode(_windows(F.col("u"))).alias("gram"))
-              .join(ratios, "gram").groupBy("u")
-              .agg(F.avg("ratio").alias("llr"), F.first("accepted").alias("accepted"),
-                   F.first("rejected").alias("rejected"), F.first("fit").alias("fit")))
-    scored = written(scored, "url-scores")
-    slope, shift = _calibration(scored)
+    # a fold that holds a whole class has no models of the others
+    usable = [f for f, (a, r) in seen.items() if a < n_accepted and r < n_rejected]
+    windows = urls.select("u", "accepted", "rejected", "fold", F.explode(_windows(F.col("u"))).alias("gram"))
+    by_fold = written(windows.groupBy("gram", "fold").agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r")), "url-windows")
+    model, others = F.col("model"), F.col("model") != F.col("fold")
+    grams = (by_fold.select("gram", "fold", "a", "r", F.explode(F.array(*[F.lit(m) for m in (FINAL, *sorted(usable))])).alias("model"))
+             .groupBy("model", "gram").agg(
+                 F.sum(F.when(others, F.col("a")).otherwise(0)).alias("accepted"),
+                 F.sum(F.when(others, F.col("r")).otherwise(0)).alias("rejected"),
+                 F.max((model == FINAL) | (~others & (F.col("a") + F.col("r") > 0))).alias("wanted")))
+    ratios = written(log_ratios(written(grams, "url-models"), ("model",), F.col("wanted")), "url-ratios")
+    final = ratios.filter(model == FINAL).drop("model")
+    scored = written(windows.join(final, "gram").groupBy("u").agg(
+        F.avg("ratio").alias("llr"), F.first("accepted").alias("accepted"), F.first("rejected").alias("rejected")), "url-scores")
+    crossed = (windows.filter(F.col("accepted") + F.col("rejected") > 0)
+               .join(ratios.withColumnRenamed("model", "fold"), ["gram", "fold"]).groupBy("u").agg(
+        F.avg("ratio").alias("llr"), F.first("accepted").alias("accepted"), F.first("rejected").alias("rejected")))
+    slope, shift = _calibration(crossed, scored)
     z = F.col("llr") * slope + shift
     ready = scored.select(F.col("u").alias(f"{key}r"), "llr", (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("p_block"))
     out = base.join(ready, F.col(key) == F.col(f"{key}r"), "left")
@@ -164,10 +174,10 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     return out.select(*keep, "host", "path", F.col(f"{hit}.rule").alias("rule"), verdict.alias("verdict"), "llr", "p_block")
 
 
-def _calibration(scored: DataFrame) -> tuple[float, float]:
-    """From the held-out fold (all labelled urls if it lacks a class)."""
+def _calibration(crossed: DataFrame, scored: DataFrame) -> tuple[float, float]:
+    """From the cross-fitted scores (the final ones if those lack a class)."""
     at = F.least(F.greatest(F.round(F.col("llr") / BIN), F.lit(-BINS)), F.lit(BINS))
-    for rows in (scored.filter("not fit"), scored):
+    for rows in (crossed, scored):
         hist = (rows.groupBy(at.alias("b")).agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r"))
                 .collect())  # at most 2 * BINS + 1 rows
         if sum(h["a"] for h in hist) and sum(h["r"] for h in hist):
