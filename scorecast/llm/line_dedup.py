@@ -13,7 +13,7 @@ key how many documents hold it and which one keeps it.
 Defined results
   * null or empty text: one empty line, nothing to drop;
   * null document id: a document like any other whose id is below all others;
-  * repeated rows: each row counts as a document; rows that share the largest
+  * repeated rows: rows that share an id count as one document; those of the largest
     id all keep the line;
   * an empty table gives an empty result; columns named like the added ones
     are replaced.
@@ -106,7 +106,8 @@ class LineRuns:
     def add(self, hashes: DataFrame) -> DataFrame:
         """Merge-anti-join a batch of (k1, k2, id) and add its own run;
         returns the run."""
-        own = hashes.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
+        # rows that share an id are one document; a batch holds all rows of an id
+        own = hashes.select("k1", "k2", "id").distinct().groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
         held = self._held()
         if held is None:
             run = own.withColumn("fresh", F.lit(True))
