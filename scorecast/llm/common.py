@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scorecast.session import scratch_path
 
@@ -40,7 +41,7 @@ def written(df: DataFrame, name: str, partition_by: str | None = None, compressi
     return spark.read.schema(schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, schema: str,
+def arrow_map(df: DataFrame, schema: str | StructType,
               fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """``mapInArrow`` for operators that carry texts (bounded batches)."""
     small_batches(df.sparkSession)

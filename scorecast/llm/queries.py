@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from scorecast.llm.ann import nearest
 from scorecast.llm.decontam import contaminated_pairs
+from scorecast.llm.exact_dedup import exact_groups
+from scorecast.llm.fill_in_middle import fill_in_middle
 from scorecast.llm.licenses import scan_licenses
 from scorecast.llm.line_dedup import line_dedup
 from scorecast.llm.packing import best_fit_packing
 from scorecast.llm.pii import BASE, find_pii, of_kinds, span_text
 from scorecast.llm.simhash import simhash_groups
+from scorecast.llm.spelling import spelling_forms
 from scorecast.llm.suffix_dedup import suffix_dedup
 from scorecast.llm.toxicity import toxicity_scores
 from scorecast.llm.url_filter import filter_urls
@@ -102,6 +105,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the copy that stays, white space apart."""
+    return exact_groups(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's form, cuts and digests of output and restored text."""
+    out = fill_in_middle(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of seven letters or more with their commoner form and root."""
+    return spelling_forms(load_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 LINE_DEDUP_SQL = r"""
 WITH lines AS (
   SELECT doc_id, pos, line,
@@ -121,6 +140,35 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+EXACT_DEDUP_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept,
+       sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)
+"""
+
+FILL_IN_MIDDLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id::VARCHAR) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents
+), k AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k
+), s AS (
+  SELECT *, array_to_string(u[1:lo], '') AS p, array_to_string(u[lo + 1:hi], '') AS m, array_to_string(u[hi + 1:], '') AS s FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -132,8 +180,13 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES = {
     "op10_line_dedup": LINE_DEDUP_SQL,
+    "op11_exact_dedup": EXACT_DEDUP_SQL,
+    "op12_fill_in_middle": FILL_IN_MIDDLE_SQL,
 }
