@@ -2,19 +2,20 @@
 
 A text, with each run of white space replaced by one blank, is cut into blocks
 of a fixed number of UTF-8 bytes. All distinct blocks of the corpus are sorted
-by their bytes and numbered: equal names mean equal blocks and the names'
-order is the blocks' order. Adjacent names of a document are then paired, the
-distinct pairs sorted and numbered in turn, and so on until one name is left
-per document. A document's identity is (rounds, last name): it is free of
-collisions, because every name stands for one byte string only.
-
-What crosses tasks: the distinct blocks (once to drop repeats, behind partial
-aggregation, and once for the range sort); afterwards only integers. Rows find
-the name of their block by two 64-bit hashes, which are proved one-to-one with
-the blocks' bytes when the blocks are numbered; were they not, other seeds
-would be taken. Names are fixed by writing each dictionary to the shared
-folder, so a lost executor never renumbers. A round halves the rows, so all
-rounds together hold at most twice the rows of the first.
+(by their first bytes, then by two 64-bit hashes of the whole block) and
+numbered, so equal names mean equal blocks. Adjacent names of a document are
+then paired, the distinct pairs sorted and numbered in turn, and so on until
+one name is left per document. A document's identity is (rounds, last name):
+it is free of collisions, because every name stands for one byte string only.
+The hashes are no exception: they are proved one-to-one with the distinct
+blocks' bytes; were they not, other seeds would be taken.
+
+What crosses tasks: the distinct blocks' bytes once, behind partial
+aggregation; afterwards their first bytes, hashes and integers. Names are fixed
+by writing each dictionary to the shared folder, so a lost executor never
+renumbers. A round halves the rows, so all rounds together hold at most twice
+the rows of the first. Groups of more than one row are written before they are
+joined back, so that the rows of a large group are split among tasks.
 
 Defined results
   * null or empty text: the empty text, equal to any other empty one (a text
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from scorecast.llm.common import free_name, written
 
 BLOCK_BYTES = 1024
+SORT_BYTES = 32  # of a block in its sort key, also what range bounds are drawn from
 NO_NAME = -1  # the right half of a pair that ends a document of odd length
 
 
@@ -64,15 +66,16 @@ def _hashes(block: Column, seed: int) -> list[Column]:
 
 
 def _numbered(keys: DataFrame, *by: str) -> DataFrame:
-    """Distinct keys in sorted order; ``name`` grows with that order (range
-    partition in the high bits, place in it in the low ones)."""
-    return keys.distinct().orderBy(*by).withColumn("name", F.monotonically_increasing_id())
+    """Keys in sorted order; ``name`` grows with that order (range partition in
+    the high bits, place in it in the low ones)."""
+    return keys.orderBy(*by).withColumn("name", F.monotonically_increasing_id())
 
 
 def _block_names(raw: DataFrame, size: int, seed: int) -> DataFrame:
     """(h1, h2, name) of every distinct block of the column ``raw``."""
-    blocks = raw.select(F.explode(_bound(F.col("raw"), lambda r: _cut(r, size, lambda b: b))).alias("block"))
-    return written(_numbered(blocks, "block").select(*_hashes(F.col("block"), seed), "name"), "block-names")
+    blocks = raw.select(F.explode(_bound(F.col("raw"), lambda r: _cut(r, size, lambda b: b))).alias("block")).distinct()
+    keys = blocks.select(F.substring("block", 1, SORT_BYTES).alias("begin"), *_hashes(F.col("block"), seed))
+    return written(_numbered(keys, "begin", "h1", "h2").drop("begin"), "block-names")
 
 
 def _rows(raw: DataFrame, size: int, seed: int) -> DataFrame:
@@ -100,7 +103,7 @@ def _identities(rows: DataFrame, names: DataFrame) -> DataFrame:
                  .agg(F.max(F.when(even, F.col("name"))).alias("a"), F.max(F.when(~even, F.col("name"))).alias("b")))
         pairs = written(pairs.select("row", F.expr("(n + 1) div 2").cast("int").alias("n"), F.col("half").alias("pos"), "a",
                                      F.coalesce("b", F.lit(NO_NAME)).alias("b")), "block-pairs")
-        names = written(_numbered(pairs.select("a", "b"), "a", "b"), "pair-names")
+        names = written(_numbered(pairs.select("a", "b").distinct(), "a", "b"), "pair-names")
         named = pairs.join(names, ["a", "b"]).select("row", "n", "pos", "name")
         left, step = (left + 1) // 2, step + 1
 
@@ -121,9 +124,12 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataF
 
 def _grouped(named: DataFrame) -> DataFrame:
     """Adds the row that stays (``first``) and the size of each group."""
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("first")
-    groups = named.groupBy("round", "name").agg(first, F.count(F.lit(1)).alias("group_size"))
-    return named.join(groups, ["round", "name"])
+    named = written(named, "document-names")
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    groups = named.groupBy("round", "name").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(groups.where(F.col("group_size") > 1), "document-groups")
+    return named.join(groups, ["round", "name"], "left").withColumns(
+        {"first": F.coalesce("first", first), "group_size": F.coalesce("group_size", F.lit(1).cast("long"))})
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
