@@ -1,32 +1,13 @@
-"""Topics and vectors: NMF (fit / transform), per-topic top-k, z-scores,
-dominant topic, one-hot, cosine neighbours.
-
-NMF is a distributed estimator over the long TF-IDF table (Id, term, x):
-multiplicative updates (Lee & Seung) for ||X - WH||^2 with W (one k-array
-per document) and H (one k-array per term). Each half-step is one pass over
-X: X is hash-partitioned by Id once and persisted, so joining W (also keyed
-by Id) does not move X; H is broadcast only when the vocabulary size, known
-from the fit, keeps k x V under the broadcast threshold. The k x k Gram
-matrices are aggregates of one row each. W and H are written as reliable
-checkpoints to the shared ``spark.checkpoint.dir`` after every update, so an
-executor loss recomputes at most one step and the plan stays constant in
-size (each factor depends on both previous ones; without the cut the
-lineage grows exponentially).
-"""
+"""Topics and vectors: per-topic top-k, z-scores, dominant topic, one-hot,
+cosine neighbours. The factorisation itself is in ``operators.nmf``."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorecast.functions import vectors as vx
-from scorecast.operators.joins import broadcast_if_bounded
-from scorecast.session import ensure_checkpoint_dir, partitions_for, shuffle_partitions
-
-EPS = 1e-12
+from scorecast.operators.nmf import NMF, NMFModel  # noqa: F401
 
 
 # --------------------------------------------------------------------------
@@ -77,10 +58,18 @@ def dominant(df: DataFrame, vcol: str, out: str = "topic") -> DataFrame:
     return df.withColumn(out, vx.argmax(vcol))
 
 
-def one_hot(df: DataFrame, col: str, k: int, prefix: str = "ohe_") -> DataFrame:
-    """One indicator column per category 0..k-1 (no dropped level)."""
-    return df.select("*", *[(F.col(col) == F.lit(i)).cast("int").alias(f"{prefix}{i}")
-                            for i in range(k)])
+def levels(df: DataFrame, col: str) -> list:
+    """T12 fit: the ascending levels of a column (null is none). They become
+    column names, so they are few by nature."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+
+
+def one_hot(df: DataFrame, col: str, values, prefix: str = "ohe_") -> DataFrame:
+    """One indicator column per level of ``values`` (a list, e.g. from
+    ``levels``, or a count k for 0..k-1); no level is dropped. Rows of another
+    level, or null, hold zeros."""
+    values = range(values) if isinstance(values, int) else values
+    return df.select("*", *[F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{prefix}{v}") for v in values])
 
 
 def top_rows_per_component(df: DataFrame, id_col: str, vcol: str, k: int = 3,
@@ -107,351 +96,3 @@ def cosine_neighbours(df: DataFrame, id_col: str, vcol: str, query_id, k: int =
     sim = vx.dot_literal(vx.l2_normalize(vcol), qv)
     return (df.select(id_col, F.round(sim, digits).alias("similarity"))
             .orderBy(F.col("similarity").desc(), F.col(id_col)).limit(k))
-
-
-# --------------------------------------------------------------------------
-# NMF
-
-def _rand_array(key: Column, seed: int, k: int, scale: float) -> Column:
-    """k uniform [0, scale) numbers from md5(seed:key:j) (repeatable init)."""
-    parts = []
-    for j in range(k):
-        h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"),
-                                                 F.lit(str(j)))), 1, 12), 16, 10)
-        parts.append(h.cast("double") / F.lit(float(1 << 48)) * F.lit(scale) + F.lit(1e-6))
-    return F.array(*parts)
-
-
-def _gram(df: DataFrame, vcol: str, k: int) -> list[list[float]]:
-    """k x k Gram matrix sum_r v_r v_r^T: one aggregate row."""
-    aggs = [F.sum(F.col(vcol)[i] * F.col(vcol)[j]).alias(f"g{i}_{j}")
-            for i in range(k) for j in range(i, k)]
-    r = df.agg(*aggs).first()
-    g = [[0.0] * k for _ in range(k)]
-    for i in range(k):
-        for j in range(i, k):
-            v = r[f"g{i}_{j}"] or 0.0
-            g[i][j] = g[j][i] = float(v)
-    return g
-
-
-def _mu_update(cur: str, num: str, gram: list[list[float]], k: int) -> Column:
-    """cur_i * num_i / (sum_j cur_j * gram[j][i] + eps), element-wise."""
-    out = []
-    for i in range(k):
-        den = F.lit(EPS)
-        for j in range(k):
-            if gram[j][i] != 0.0:
-                den = den + F.col(cur)[j] * F.lit(gram[j][i])
-        out.append(F.col(cur)[i] * F.coalesce(F.col(num)[i], F.lit(0.0)) / den)
-    return F.array(*out)
-
-
-def _weighted_sums(df: DataFrame, key: str, vcol: str, k: int, out: str) -> DataFrame:
-    return df.groupBy(key).agg(F.array(*[F.sum(F.col("x") * F.col(vcol)[i])
-                                         for i in range(k)]).alias(out))
-
-
-@dataclass
-class NMFModel:
-    k: int
-    H: DataFrame            # (term, h array<double>)
-    W: DataFrame | None     # (Id, w array<double>) of the fitting rows
-    n_terms: int
-    losses: list[float] = field(default_factory=list)
-    H_local: tuple | None = None   # (terms, k x V array) when H was broadcast
-
-    def components(self) -> DataFrame:
-        """(topic, term, weight) long form of H."""
-        return self.H.select("term", F.posexplode("h").alias("topic", "weight"))
-
-    def transform(self, X: DataFrame, id_col: str = "Id", max_iter: int = 50,
-                  seed: int = 44) -> DataFrame:
-        """W for unseen rows with H fixed (W-steps only)."""
-        X = _prep(X, id_col)
-        if self.H_local is not None:
-            return self._transform_broadcast(X, id_col, max_iter, seed)
-        scale = _init_scale(X, self.k)
-        W = (X.select(id_col).distinct()
-             .select(id_col, _rand_array(F.col(id_col), seed, self.k, scale).alias("w")))
-        Hb = broadcast_if_bounded(self.H, self.n_terms, 16 + 8 * self.k)
-        HHt = _gram(self.H, "h", self.k)
-        XH = _weighted_sums(X.join(Hb, "term"), id_col, "h", self.k, "xh").persist()
-        W = _materialize(W)
-        for _ in range(max_iter):
-            W = _step(W.join(XH, id_col, "left"), id_col, "w", "xh", HHt, self.k)
-        XH.unpersist()
-        return W
-
-    def _transform_broadcast(self, X, id_col, max_iter, seed):
-        spark = X.sparkSession
-        terms, H = self.H_local
-        vocab = spark.createDataFrame(list(enumerate(terms)), "tid int, term string")
-        docs = _doc_rows(X, vocab, id_col, len(terms), self.k)
-        scale = _init_scale(X, self.k)
-        docs = docs.withColumn("w", _rand_array(F.col(id_col), seed, self.k, scale))
-        hb = spark.sparkContext.broadcast((H, H @ H.T))
-        return docs.mapInPandas(_nmf_transform_fn(hb, self.k, id_col, max_iter),
-                                f"{id_col} long, w array<double>")
-
-
-def _prep(X: DataFrame, id_col: str) -> DataFrame:
-    return X.select(F.col(id_col), F.col("term"), F.col("x").cast("double").alias("x"))
-
-
-def _init_scale(X: DataFrame, k: int) -> float:
-    # mean of the full matrix (zeros included) = sum / (rows * cols)
-    r = X.agg(F.sum("x").alias("s"), F.countDistinct("Id" if "Id" in X.columns else X.columns[0])
-              .alias("n"), F.countDistinct("term").alias("v")).first()
-    mean = (r["s"] or 0.0) / max(1, (r["n"] or 1) * (r["v"] or 1))
-    return (mean / k) ** 0.5 * 2.0 if mean > 0 else 1.0
-
-
-def _materialize(df: DataFrame) -> DataFrame:
-    """Cache, write a reliable checkpoint to the shared folder, drop the cache.
-
-    Each factor depends on both previous factors, so without cutting the
-    lineage every step the logical plan would grow exponentially; the
-    checkpoint also bounds recomputation after an executor loss to one step.
-    """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
-
-
-def _step(joined: DataFrame, key: str, cur: str, num: str, gram, k: int) -> DataFrame:
-    return _materialize(joined.select(key, _mu_update(cur, num, gram, k).alias(cur)))
-
-
-class NMF:
-    """Non-negative matrix factorisation X ~ W H, k components."""
-
-    def __init__(self, k: int = 6, max_iter: int = 200, seed: int = 44, tol: float = 1e-4,
-                 loss_every: int = 10, id_col: str = "Id",
-                 max_model_bytes: int = 256 * 1024 * 1024, checkpoint_every: int = 10,
-                 nnz_per_partition: int = 200_000):
-        self.k, self.max_iter, self.seed, self.tol = k, max_iter, seed, tol
-        self.loss_every, self.id_col = loss_every, id_col
-        self.max_model_bytes, self.checkpoint_every = max_model_bytes, checkpoint_every
-        self.nnz_per_partition = nnz_per_partition
-
-    def fit(self, X: DataFrame) -> NMFModel:
-        """Broadcast-H solver when k x V fits ``max_model_bytes``; otherwise
-        the all-DataFrame solver (H stays distributed, keyed by term)."""
-        X = _prep(X, self.id_col).persist(StorageLevel.MEMORY_AND_DISK)
-        st = X.agg(F.countDistinct("term").alias("v"), F.countDistinct(self.id_col).alias("n"),
-                   F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("xx"),
-                   F.count(F.lit(1)).alias("nnz")).first()
-        self._nnz = int(st["nnz"] or 0)
-        n_terms = int(st["v"] or 0)
-        mean = float(st["s"] or 0.0) / max(1, int(st["n"] or 1) * max(1, n_terms))
-        scale = (mean / self.k) ** 0.5 * 2.0 if mean > 0 else 1.0
-        try:
-            if n_terms * self.k * 8 <= self.max_model_bytes:
-                return self._fit_broadcast(X, n_terms, float(st["xx"] or 0.0), scale)
-            return self._fit_dataframe(X)
-        finally:
-            X.unpersist()
-
-    def _fit_dataframe(self, X: DataFrame) -> NMFModel:
-        spark = X.sparkSession
-        ensure_checkpoint_dir(spark)
-        k, idc = self.k, self.id_col
-        X = _prep(X, idc).repartition(shuffle_partitions(spark), idc).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        stats = X.agg(F.sum(F.col("x") * F.col("x")).alias("xx"),
-                      F.countDistinct("term").alias("v")).first()
-        xx, n_terms = float(stats["xx"] or 0.0), int(stats["v"] or 0)
-        self._n_terms = n_terms
-        scale = _init_scale(X, k)
-        W = _materialize(X.select(idc).distinct()
-                         .select(idc, _rand_array(F.col(idc), self.seed, k, scale).alias("w")))
-        H = _materialize(X.select("term").distinct()
-                         .select("term", _rand_array(F.col("term"), self.seed + 1, k, scale)
-                                 .alias("h")))
-        losses: list[float] = [self._loss(X, W, H, xx, k)]
-        for it in range(self.max_iter):
-            # W-step: W <- W * (X H^T) / (W H H^T)
-            Hb = broadcast_if_bounded(H, n_terms, 16 + 8 * k)
-            HHt = _gram(H, "h", k)
-            XH = _weighted_sums(X.join(Hb, "term"), idc, "h", k, "xh")
-            W = _step(W.join(XH, idc, "left"), idc, "w", "xh", HHt, k)
-            # H-step: H <- H * (W^T X) / (W^T W H)
-            WtW = _gram(W, "w", k)
-            WX = _weighted_sums(X.join(W, idc), "term", "w", k, "wx")
-            H = _step(H.join(WX, "term", "left"), "term", "h", "wx", WtW, k)
-            last = it + 1 == self.max_iter
-            if (it + 1) % self.loss_every == 0 or last:
-                loss = self._loss(X, W, H, xx, k)
-                prev = losses[-1]
-                losses.append(loss)
-                if prev > 0 and (prev - loss) / prev < self.tol:
-                    break
-        X.unpersist()
-        return NMFModel(k, H, W, n_terms, losses)
-
-    def _loss(self, X, W, H, xx, k) -> float:
-        """||X - WH||^2 = sum x^2 - 2 sum x (w.h) + <W^T W, H H^T>."""
-        Hb = broadcast_if_bounded(H, self._n_terms, 16 + 8 * k)
-        cross = (X.join(W, self.id_col).join(Hb, "term")
-                 .agg(F.sum(F.col("x") * vx.dot("w", "h")).alias("c")).first()["c"] or 0.0)
-        g1, g2 = _gram(W, "w", k), _gram(H, "h", k)
-        inner = sum(g1[i][j] * g2[i][j] for i in range(k) for j in range(k))
-        return float(xx - 2.0 * cross + inner)
-
-    # ------------------------------------------------------------------
-    # broadcast-H solver: one Arrow-batched pass over the documents per step
-
-    def _fit_broadcast(self, X: DataFrame, n_terms: int, xx: float, scale: float) -> NMFModel:
-        import numpy as np
-
-        spark = X.sparkSession
-        ensure_checkpoint_dir(spark)
-        k, idc = self.k, self.id_col
-        terms = sorted(r[0] for r in X.select("term").distinct().collect())
-        vocab = spark.createDataFrame(list(enumerate(terms)), "tid int, term string")
-        docs = _doc_rows(X, vocab, idc, n_terms, k)
-        docs = docs.withColumn("w", _rand_array(F.col(idc), self.seed, k, scale))
-        # one row per document; partitions hold about ``nnz_per_partition``
-        # non-zeros of X, so per-task work is even and grows with the data
-        docs = _materialize(docs.repartition(partitions_for(self._nnz, self.nnz_per_partition),
-                                             idc))
-        h0 = (vocab.select("tid", _rand_array(F.col("term"), self.seed + 1, k, scale).alias("h"))
-              .collect())
-        H = np.zeros((k, n_terms))
-        for r in h0:
-            H[:, r["tid"]] = r["h"]
-        losses: list[float] = []
-        sc = spark.sparkContext
-        prev_out = None
-        for it in range(self.max_iter):
-            HHt = H @ H.T
-            hb = sc.broadcast((H, HHt))
-            out = docs.mapInPandas(_nmf_step_fn(hb, k, idc), _STEP_SCHEMA.format(id=idc))
-            out = out.persist(StorageLevel.MEMORY_AND_DISK)
-            if self.checkpoint_every and (it + 1) % self.checkpoint_every == 0:
-                chk = out.checkpoint(eager=True)
-                out.unpersist()
-                out = chk
-            # per-term partial sums of W_new^T X, plus the k x k Gram and loss parts
-            red = (out.where(F.col("kind") > 0)
-                   .groupBy("kind", "tid")
-                   .agg(*[F.sum(F.col("vec")[i]).alias(f"s{i}") for i in range(k)])
-                   .toPandas())          # model-sized (V + 2k + 1 rows), via Arrow
-            kind, tids = red["kind"].to_numpy(), red["tid"].to_numpy()
-            vals = red[[f"s{i}" for i in range(k)]].fillna(0.0).to_numpy()
-            WX = np.zeros((k, n_terms))
-            WX[:, tids[kind == 1]] = vals[kind == 1].T
-            WtW_new = np.zeros((k, k))
-            WtW_new[tids[kind == 2]] = vals[kind == 2]
-            WtW_in = np.zeros((k, k))
-            WtW_in[tids[kind == 3]] = vals[kind == 3]
-            cross = float(vals[kind == 4][:, 0].sum())
-            # loss of the state that entered this step: ||X||^2 - 2 cross + <W^T W, H H^T>
-            losses.append(float(xx - 2.0 * cross + float((WtW_in * HHt).sum())))
-            H = H * WX / (WtW_new @ H + EPS)
-            docs = out.where(F.col("kind") == 0).select(idc, "tid_arr", "val", "w")
-            hb.unpersist()
-            if prev_out is not None:
-                prev_out.unpersist()   # the new step's output is materialised by now
-            prev_out = out
-            if (len(losses) > 1 and losses[-2] > 0
-                    and (losses[-2] - losses[-1]) / losses[-2] < self.tol):
-                break
-        docs = _materialize(docs)
-        if prev_out is not None:
-            prev_out.unpersist()
-        Hdf = spark.createDataFrame([(terms[j], [float(x) for x in H[:, j]])
-                                     for j in range(n_terms)], "term string, h array<double>")
-        W = docs.select(idc, "w")
-        return NMFModel(k, Hdf, W, n_terms, losses, H_local=(terms, H))
-
-
-_STEP_SCHEMA = ("kind int, {id} long, tid_arr array<int>, val array<double>, "
-                "w array<double>, tid int, vec array<double>")
-
-
-def _doc_rows(X: DataFrame, vocab: DataFrame, idc: str, n_terms: int, k: int) -> DataFrame:
-    """One row per document: parallel arrays of term ids and values (the
-    sparse row of X). Grouping is per document, bounded by its length."""
-    t = X.join(broadcast_if_bounded(vocab, n_terms, 64), "term")
-    return (t.groupBy(idc)
-            .agg(F.sort_array(F.collect_list(F.struct("tid", "x"))).alias("__e"))
-            .select(idc, F.col("__e.tid").alias("tid_arr"), F.col("__e.x").alias("val")))
-
-
-def _sparse_rows_np(pdf):
-    import numpy as np
-    n = len(pdf)
-    lens = np.fromiter((len(a) for a in pdf["tid_arr"]), dtype=np.int64, count=n)
-    tid = (np.concatenate(pdf["tid_arr"].to_numpy()).astype(np.int64)
-           if lens.sum() else np.zeros(0, np.int64))
-    val = (np.concatenate(pdf["val"].to_numpy()).astype(float) if lens.sum() else np.zeros(0))
-    return np.repeat(np.arange(n), lens), tid, val
-
-
-def _nmf_step_fn(hb, k: int, idc: str):
-    """mapInPandas body: W-step for a batch of documents plus their partial
-    W_new^T X (per term), W_new^T W_new and the loss parts of the input state.
-    Output rows: kind 0 = document (new W), 1 = term partial sums, 2 = Gram
-    row i of W_new^T W_new (tid = i), 3 = Gram row i of the input W^T W
-    (tid = i), 4 = the loss cross term (vec[0])."""
-
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-
-        H, HHt = hb.value
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            W = np.stack(pdf["w"].to_numpy())
-            row, tid, val = _sparse_rows_np(pdf)
-            Ht = H[:, tid]                                    # k x nnz
-            XH = np.stack([np.bincount(row, weights=val * Ht[j], minlength=n)
-                           for j in range(k)], axis=1)
-            cross_in = float((val * np.einsum("ij,ji->i", W[row], Ht)).sum())
-            WtW_in = W.T @ W
-            Wn = W * XH / (W @ HHt + EPS)
-            uniq, inv = np.unique(tid, return_inverse=True)
-            Wr = Wn[row]
-            WX = np.stack([np.bincount(inv, weights=val * Wr[:, j], minlength=len(uniq))
-                           for j in range(k)], axis=1)
-            WtW = Wn.T @ Wn
-            docs = pd.DataFrame({"kind": 0, idc: pdf[idc].to_numpy(),
-                                 "tid_arr": pdf["tid_arr"], "val": pdf["val"],
-                                 "w": list(Wn), "tid": None, "vec": None})
-            extra = pd.DataFrame({
-                "kind": np.concatenate([np.ones(len(uniq), np.int32), np.full(k, 2, np.int32),
-                                        np.full(k, 3, np.int32), [4]]).astype(np.int32),
-                idc: None, "tid_arr": None, "val": None, "w": None,
-                "tid": np.concatenate([uniq, np.arange(k), np.arange(k), [0]]).astype(np.int32),
-                "vec": list(WX) + list(WtW) + list(WtW_in) + [np.r_[cross_in, np.zeros(k - 1)]]})
-            yield pd.concat([docs, extra], ignore_index=True)
-    return run
-
-
-def _nmf_transform_fn(hb, k: int, idc: str, max_iter: int):
-    """mapInPandas body for T11: W-steps with H fixed, all iterations inside
-    the task (documents are independent once H is fixed)."""
-
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-
-        H, HHt = hb.value
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            W = np.stack(pdf["w"].to_numpy())
-            row, tid, val = _sparse_rows_np(pdf)
-            Ht = H[:, tid]
-            XH = np.stack([np.bincount(row, weights=val * Ht[j], minlength=n)
-                           for j in range(k)], axis=1)
-            for _ in range(max_iter):
-                W = W * XH / (W @ HHt + EPS)
-            yield pd.DataFrame({idc: pdf[idc].to_numpy(), "w": list(W)})
-    return run

@@ -5,46 +5,6 @@ import math
 from pyspark.sql import functions as F
 
 from scorecast.operators import models as md
-from scorecast.operators import topics as tp
-from tests.conftest import SF_SMALL
-
-
-def _x(spark):
-    from scorecast.plans.topics import tfidf_table
-    X, _, _ = tfidf_table(spark, SF_SMALL)
-    return X.persist()
-
-
-def test_nmf_nonnegative_monotone_repeatable(spark):
-    X = _x(spark)
-    m1 = tp.NMF(4, 15, seed=7, tol=0.0, loss_every=1).fit(X)
-    assert all(b <= a * (1 + 1e-9) for a, b in zip(m1.losses, m1.losses[1:])), m1.losses
-    w = m1.W.select(F.explode("w").alias("x")).agg(F.min("x")).first()[0]
-    h = m1.H.select(F.explode("h").alias("x")).agg(F.min("x")).first()[0]
-    assert w >= 0 and h >= 0
-    m2 = tp.NMF(4, 15, seed=7, tol=0.0, loss_every=1).fit(X)
-    a = {r.Id: r.w for r in m1.W.collect()}
-    b = {r.Id: r.w for r in m2.W.collect()}
-    assert a.keys() == b.keys()
-    assert all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-12)
-               for k in a for x, y in zip(a[k], b[k]))
-
-
-def test_nmf_dataframe_solver_agrees_on_loss_direction(spark):
-    X = _x(spark)
-    m = tp.NMF(3, 4, seed=1, tol=0.0, loss_every=1, max_model_bytes=0).fit(X)   # force fallback
-    assert m.H_local is None
-    assert m.losses[-1] <= m.losses[0]
-
-
-def test_nmf_transform_reproduces_train_rows(spark):
-    X = _x(spark)
-    m = tp.NMF(3, 30, seed=3, tol=0.0).fit(X)
-    W2 = m.transform(X, max_iter=200)
-    a = {r.Id: r.w for r in m.W.collect()}
-    got = {r.Id: r.w for r in W2.collect()}
-    # with H fixed the W-step converges to a non-negative solution for every row
-    assert got.keys() <= a.keys() and all(min(v) >= 0 for v in got.values())
 
 
 def test_one_feature_lasso_close_to_closed_form(spark):
