@@ -3,11 +3,11 @@
 * linear models (OLS, ridge, lasso, elastic net, the SGD-style grid) map the
   reference's penalty conventions onto ``LinearRegression`` (see
   ``spark_penalty``);
-* forests and boosted trees are ``RandomForestRegressor`` / ``GBTRegressor``;
+* forests and boosted trees on sparse features are in ``operators.sparse_trees``;
 * folds are the exact hash-rank folds of ``operators.split`` and feed
   ``CrossValidator(foldCol=...)``;
-* out-of-fold predictions, stacking and the boosting round search are loops
-  over folds of fits that each run distributed;
+* out-of-fold predictions are loops over folds of fits that each run
+  distributed, submitted from threads;
 * ``MeanRegressor`` (a constant model) and ``PassiveAggressiveRegressor``
   (PA-I, per-partition passes with averaged sparse weight deltas) are custom
   estimators.
@@ -15,7 +15,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 
 from pyspark import StorageLevel
@@ -24,8 +23,8 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import CountVectorizer, MaxAbsScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,7 +201,7 @@ def cv_results_table(spark, cv_model, describe) -> DataFrame:
 def out_of_fold(pipeline: Pipeline, data: DataFrame, k: int, fold_col: str = "fold",
                 id_col: str = "Id", pred: str = "prediction") -> DataFrame:
     """Each row predicted by a model fitted on the other folds; every
-    row appears exactly once. Fits run one after another, each distributed."""
+    row appears exactly once. Fits run side by side, each distributed."""
     def one(f):
         m = pipeline.fit(data.where(F.col(fold_col) != f))
         return (m.transform(data.where(F.col(fold_col) == f))
@@ -220,71 +219,6 @@ def rmse_of(df: DataFrame, label: str = "label", pred: str = "prediction") -> fl
     return math.sqrt(v) if v is not None else float("nan")
 
 
-# --------------------------------------------------------------------------
-# boosting with a CV search of the number of rounds (early stopping)
-
-
-def gbt(max_depth=3, step=0.7, subsample=0.5, colsample="0.3", rounds=50, seed=44,
-        min_instances=1, features="features", label="label") -> GBTRegressor:
-    """M9: boosted regression trees; column sampling per node (Spark)."""
-    return GBTRegressor(featuresCol=features, labelCol=label, maxDepth=max_depth, stepSize=step,
-                        subsamplingRate=subsample, featureSubsetStrategy=colsample,
-                        maxIter=rounds, seed=seed, minInstancesPerNode=min_instances,
-                        lossType="squared")
-
-
-def gbt_cv_rounds(data: DataFrame, k: int, grid: dict, max_rounds: int = 50,
-                  early_stopping: int = 5, fold_col: str = "fold", label: str = "label"):
-    """M10 + M13 + A14: for every parameter combination, boost ``max_rounds``
-    rounds on each training fold, score every prefix of rounds on the held-out
-    fold (``evaluateEachIteration``), average the per-round RMSE over folds
-    and stop at the first round not improved on for ``early_stopping`` rounds.
-    Returns result rows (params, score, st_dev, n_rounds)."""
-    keys = sorted(grid)
-    combos = [dict(zip(keys, c)) for c in itertools.product(*[grid[kk] for kk in keys])]
-
-    def one(job):
-        ci, f = job
-        tr = data.where(F.col(fold_col) != f)
-        va = data.where(F.col(fold_col) == f)
-        m = gbt(rounds=max_rounds, label=label, **combos[ci]).fit(tr)
-        # squared loss per round: mean squared error of the first i trees
-        return [math.sqrt(max(x, 0.0)) for x in m.evaluateEachIteration(va, "squared")]
-
-    jobs = [(ci, f) for ci in range(len(combos)) for f in range(k)]
-    curves = dict(zip(jobs, parallel_map(one, jobs)))
-    results = []
-    for ci, params in enumerate(combos):
-        per_fold = [curves[(ci, f)] for f in range(k)]
-        n = min(len(p) for p in per_fold)
-        means = [sum(p[i] for p in per_fold) / k for i in range(n)]
-        sds = [math.sqrt(sum((p[i] - means[i]) ** 2 for p in per_fold) / k) for i in range(n)]
-        best, since = 0, 0
-        for i in range(1, n):
-            if means[i] < means[best]:
-                best, since = i, 0
-            else:
-                since += 1
-                if since >= early_stopping:
-                    break
-        results.append({**{kk: (float(v) if isinstance(v, float) else v)
-                           for kk, v in params.items()},
-                        "score": means[best], "st_dev": sds[best], "n_rounds": best + 1})
-    return sorted(results, key=lambda r: r["score"])
-
-
-def importance_table(spark, model, names: list[str]) -> DataFrame:
-    """Feature importances (gain based) with names, normalised to sum 1,
-    sorted descending; zero-importance features are left out."""
-    imp = model.featureImportances
-    rows = [(names[i] if i < len(names) else f"f{i}", float(v))
-            for i, v in zip(imp.indices, imp.values) if v > 0]
-    df = spark.createDataFrame(rows, "feature string, fscore double")
-    tot = sum(v for _, v in rows) or 1.0
-    return df.withColumn("fscore", F.col("fscore") / F.lit(tot)).orderBy(
-        F.col("fscore").desc(), "feature")
-
-
 # --------------------------------------------------------------------------
 # passive-aggressive online regression (M11) on sparse (idx, val) rows
 

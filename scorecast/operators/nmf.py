@@ -1,8 +1,9 @@
 """Non-negative matrix factorisation X ~ W H of a long table (Id, term, x).
 
 Block coordinate descent (a component of all rows, then of all terms, at its
-non-negative least-squares optimum), with the usual stopping rule: the summed
-projected gradient of a step against that of the first one.
+non-negative least-squares optimum). One stopping rule at every size: a pass
+that lowers the loss by less than ``tol`` of the first loss is the last. The
+projected gradient, as a share of its first value, is reported beside it.
 
 Both factors stay tables. Rows are dealt into blocks of about
 ``nnz_per_block`` values by a hash of their Id; X lies in its blocks for the
@@ -206,7 +207,7 @@ def _transform_fn(gram: list[list[float]], max_iter: int, tol: float):
 @dataclass
 class NMFModel:
     """H (term, h), W (Id, w) of the fitted rows, the loss after each step's
-    W half, and each step's stopping ratio."""
+    W half, and each step's projected gradient as a share of the first."""
 
     k: int
     H: DataFrame
@@ -233,8 +234,8 @@ class NMFModel:
 
 class NMF:
     """K components. ``sweeps`` coordinate sweeps are made per pass over
-    X (more of them need fewer passes); the fit ends when the projected
-    gradient is ``tol`` of its first value, or after ``max_iter`` passes."""
+    X (more of them need fewer passes); the fit ends when a pass lowers the
+    loss by less than ``tol`` of the first one, or after ``max_iter`` passes."""
 
     def __init__(self, k: int = 6, max_iter: int = 200, seed: int = 44, tol: float = 1e-4, sweeps: int = 3, id_col: str = "Id",
                  nnz_per_block: int = 200_000):
@@ -268,7 +269,7 @@ class NMF:
             moved += moved_h
             first = moved if first is None else first
             ratios.append(moved / first if first else 0.0)
-            if ratios[-1] <= self.tol:
+            if len(losses) > 1 and losses[-2] - losses[-1] < self.tol * losses[0]:
                 break
         x.release()
         return NMFModel(k, terms.join(H, "tid").select("term", "h"), W.select(F.col("Id").alias(self.id_col), "w"), n_terms, losses, ratios)

@@ -1,5 +1,5 @@
-"""Score models on the labelled reviews: features, linear / forest / boosted
-models, grids with k-fold CV, out-of-fold predictions, stacking, online
+"""Score models on the labelled reviews: features, linear models (trees are in
+``plans.trees``), grids with k-fold CV, out-of-fold predictions, stacking, online
 passive-aggressive learning, prediction sinks and artifacts.
 
 Fitted models have no SQL form, so most queries here are rows-only and are
@@ -28,7 +28,6 @@ from scorecast.sources.views import reviews
 SEED = 44
 K_FOLDS = 5
 NUMERIC = ["summary_count", "text_count", "all_words_count"]
-TREE_VOCAB = 2000     # vocabulary cap for tree models (dense binned features)
 _CACHE: dict = {}
 
 
@@ -171,86 +170,6 @@ def m16_oof_predictions(spark, sf_dir):
     return oof.unionByName(tp)
 
 
-def m17_stacked_gbt(spark, sf_dir):
-    """M17 + J1 + T17 + M9: level-0 linear predictions (out-of-fold on train,
-    refit on test) joined as a feature next to the word counts; boosted trees
-    on top; test predictions."""
-    from pyspark.ml.feature import VectorAssembler
-    train, test = _train_test(spark, sf_dir)
-    lvl0 = m16_oof_predictions(spark, sf_dir).select("Id", F.col("score").alias("lvl0"))
-    cols = NUMERIC + ["lvl0"]
-    va = VectorAssembler(inputCols=cols, outputCol="features")
-    tr = va.transform(train.join(lvl0, "Id", "left").na.drop(subset=["lvl0"]))
-    te = va.transform(test.join(lvl0, "Id", "left").na.drop(subset=["lvl0"]))
-    m = md.gbt(max_depth=3, rounds=20).fit(tr)
-    return m.transform(te).select("Id", F.col("prediction").alias("score"))
-
-
-# ---- trees ----------------------------------------------------------------------------
-def _tree_pipe(model):
-    return md.text_pipeline(model, "summary_terms", "text_terms", NUMERIC, vocab_size=TREE_VOCAB,
-                            scale=False)
-
-
-def m8_random_forest(spark, sf_dir):
-    """M8 + M18 + A11: random forest (100 trees, depth 10, all features per
-    split) on summary/text 1-3-gram counts (vocabulary capped at 2000 terms
-    per branch) and word counts; test predictions with the test RMSE."""
-    train, test = _train_test(spark, sf_dir)
-    rf = RandomForestRegressor(numTrees=100, maxDepth=10, featureSubsetStrategy="all",
-                               seed=SEED)
-    pm = _tree_pipe(rf).fit(train)
-    pred = pm.transform(test)
-    r = md.rmse_of(pred)
-    return pred.select("Id", F.col("prediction").alias("score"), F.lit(r).alias("test_rmse"))
-
-
-def _gbt_grid_results(spark, sf_dir):
-    key = ("gbt_cv", id(spark), sf_dir)
-    if key not in _CACHE:
-        train, _ = _train_test(spark, sf_dir)
-        feats = _tree_pipe(None).fit(train)
-        data = feats.transform(train).select("Id", "fold", "label", "features").persist()
-        res = md.gbt_cv_rounds(data, K_FOLDS, {"max_depth": [3, 6]}, max_rounds=20,
-                               early_stopping=5)
-        _CACHE[key] = (res, feats)
-    return _CACHE[key]
-
-
-def m10_gbt_cv_rounds(spark, sf_dir):
-    """M10 + M13 + A14 + O2: boosted trees (eta 0.7, subsample 0.5, column
-    sample 0.3) for max_depth {3, 6}; per-round held-out RMSE averaged over 5
-    folds, early stopping after 5 rounds without improvement; results table
-    sorted best first."""
-    res, _ = _gbt_grid_results(spark, sf_dir)
-    return spark.createDataFrame(
-        [(r["max_depth"], 0.7, 0.5, 0.3, r["score"], r["st_dev"], r["n_rounds"]) for r in res],
-        "max_depth int, eta double, subsample double, colsample double, score double, "
-        "st_dev double, n_rounds int").orderBy("score")
-
-
-def _final_gbt(spark, sf_dir):
-    res, feats = _gbt_grid_results(spark, sf_dir)
-    best = res[0]   # O7: all parameters taken from the best row
-    train, test = _train_test(spark, sf_dir)
-    m = md.gbt(max_depth=best["max_depth"], rounds=best["n_rounds"]).fit(feats.transform(train))
-    return m, feats, test
-
-
-def m9_gbt_test_predictions(spark, sf_dir):
-    """M9 + O7 + M18: boosted trees refitted on the train half with the best
-    row of the CV table (depth and number of rounds); test predictions."""
-    m, feats, test = _final_gbt(spark, sf_dir)
-    return m.transform(feats.transform(test)).select("Id", F.col("prediction").alias("score"))
-
-
-def m20_feature_importance(spark, sf_dir):
-    """M20 + T17: importances of the final boosted model with feature names,
-    normalised to sum 1."""
-    m, feats, _ = _final_gbt(spark, sf_dir)
-    return md.importance_table(spark, m, md.assembled_names(feats))
-
-
 # ---- M14: grid across estimators ----------------------------------------------------------
 def m14_multi_model_grid(spark, sf_dir):
     """M14 + M4-M8 + O7: OLS, ridge, lasso, elastic net and a small forest
@@ -458,11 +377,6 @@ QUERIES = {
     "M7_enet_one_feature": m7_enet_one_feature,
     "M12_linear_grid_cv": m12_linear_grid_cv,
     "M16_oof_predictions": m16_oof_predictions,
-    "M17_stacked_gbt": m17_stacked_gbt,
-    "M8_random_forest": m8_random_forest,
-    "M10_gbt_cv_rounds": m10_gbt_cv_rounds,
-    "M9_gbt_test_predictions": m9_gbt_test_predictions,
-    "M20_feature_importance": m20_feature_importance,
     "M14_multi_model_grid": m14_multi_model_grid,
     "M11_passive_aggressive": m11_passive_aggressive,
     "A11_mean_predictor_rmse": a11_mean_predictor_rmse,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["weekly", "text", "topics", "models", "io_stream"]
+_MODULES = ["weekly", "text", "topics", "models", "trees", "io_stream"]
 
 
 def _load():
