@@ -56,6 +56,34 @@ def drop_keys(df: DataFrame, keys: DataFrame, on: str = "Id") -> DataFrame:
     return df.join(keys.select(on), on, "left_anti")
 
 
+def key_faults(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(key, n_left, n_right) of every key that is not exactly once on
+    either side (null counts as a key that joins nothing). One grouped count
+    over both sides' keys; a hot key is counted per task first."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    keys = left.select(key, one.alias("l"), none.alias("r")).unionByName(right.select(key, none.alias("l"), one.alias("r")))
+    n = keys.groupBy(key).agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
+    return n.where((F.col("n_left") != 1) | (F.col("n_right") != 1) | F.col(key).isNull())
+
+
+def concat_by_key(left: DataFrame, right: DataFrame, key: str, strict: bool = True, shown: int = 5) -> DataFrame:
+    """The columns of two tables side by side, matched by key and proved
+    one to one. ``strict`` raises if a key is missing or doubled on a side
+    (naming the first few); otherwise such keys are left out, and
+    ``key_faults`` lists them. Columns that both tables have are refused."""
+    clash = {c.lower() for c in left.columns if c != key} & {c.lower() for c in right.columns if c != key}
+    if clash:
+        raise ValueError(f"both tables have columns {sorted(clash)}")
+    faults = key_faults(left, right, key)
+    if strict:
+        first = faults.orderBy(key).limit(shown).collect()
+        if first:
+            raise ValueError("keys not exactly once on both sides: " + ", ".join(
+                f"{r[key]} ({r['n_left']}, {r['n_right']})" for r in first))
+        return left.join(right, key)
+    return left.join(faults.select(key), key, "left_anti").join(right, key)
+
+
 def asof_join(left: DataFrame, right: DataFrame, time_col: str, by: list[str] | None = None,
               direction: str = "backward", value_cols: list[str] | None = None,
               block: int | None = None, tie_col: str | None = None) -> DataFrame:
