@@ -3,8 +3,8 @@ lagged features and their merge back onto the rows.
 
 Plan shape (global series): scan -> project -> partial/final ``groupBy(bin)``
 (one row per bin leaves each map task) -> left join onto a ``range`` calendar
--> window over the calendar (K rows, K = span / step, independent of the row
-count) -> broadcast hash join of the K-row result onto the rows. The only
+-> window over blocks of the calendar (K rows, K = span / step, independent of
+the row count) -> broadcast hash join of the K-row result onto the rows. The only
 shuffle of the big side is none: it is probed against the broadcast table.
 
 Per-group series partition the calendar and the window by the group key;
@@ -26,6 +26,7 @@ ROLL_FUNCS = {
     "mean": F.avg, "avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max,
     "sd": F.stddev_samp, "stddev": F.stddev_samp, "count": F.count,
 }
+BLOCK_BINS = 4096  # bins of a calendar that one window task sorts
 
 
 def require_cols(cols) -> list[str]:
@@ -102,25 +103,39 @@ def resample(df: DataFrame, cols, time_col: str = "Time", step: int = 604800,
 
 def rolling(binned: DataFrame, cols, window: int = 4, func: str = "mean", lag: int = 0,
             by=None, order_col: str = "bin", suffix: str = "", drop_incomplete: bool = False,
-            ) -> DataFrame:
+            block_bins: int = BLOCK_BINS) -> DataFrame:
     """Trailing ``func`` over ``window`` bins, lagged by ``lag`` bins.
 
     The value at bin i summarises bins i-window-lag+1 .. i-lag and is null
     until that many bins exist. A range frame over the integer bin index
     makes the frame count bins, not rows. ``drop_incomplete`` removes the
     leading rows instead of leaving nulls (``rollapply`` without fill).
+
+    The calendar is cut into blocks of ``block_bins`` bins; the bins a block
+    looks back on are dealt to it as well and leave it again behind the
+    window. So no task holds the calendar, and a series that holds most rows
+    is spread over its blocks.
     """
     cols = require_cols(cols)
     if func not in ROLL_FUNCS:
         raise ValueError(f"unknown summary function {func!r}; use one of {sorted(ROLL_FUNCS)}")
     fn = ROLL_FUNCS[func]
     by = list(by or [])
-    w = Window.orderBy(order_col) if not by else Window.partitionBy(*by).orderBy(order_col)
-    w = w.rangeBetween(-(window - 1) - lag, -lag)
+    reach = window - 1 + lag
+    size = max(block_bins, reach, 1)
+    at = F.col(order_col)
+    own = F.floor(at / size).cast("long")
+    # the last ``reach`` bins of a block are what the next block looks back on
+    halo = F.pmod(at, F.lit(size)) >= size - reach
+    dealt = binned.withColumn("__block", F.explode(
+        F.when(halo, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = (Window.partitionBy(*by, "__block").orderBy(order_col)
+         .rangeBetween(-reach, -lag))
     n = F.count(F.lit(1)).over(w)
-    out = binned.select(
+    out = dealt.select(
         "*", *[F.when(n == window, fn(F.col(c)).over(w)).cast("double").alias(c + suffix)
                for c in cols])
+    out = out.where(F.col("__block") == own).drop("__block")
     if drop_incomplete:
         out = out.where(F.col(cols[0] + suffix).isNotNull())
     return out
@@ -177,10 +192,15 @@ def rolling_merge(df: DataFrame, cols, time_col: str = "Time", step_unit: str =
     binned = resample(src, cols + ["__rows"], time_col, step, "epoch", "sum", 0, by=by,
                       bounds=None if by else time_bounds(df, time_col))
     rolled = rolling(binned, cols, window, func, lag=1, by=by, suffix="__r")
-    gw = Window.partitionBy(*by) if by else Window.partitionBy()
-    nonempty = F.sum(F.when(F.col("__rows") > 0, 1).otherwise(0)).over(gw)
+    filled = F.count(F.when(F.col("__rows") > 0, 1))
+    if by:
+        known = binned.groupBy(*by).agg(filled.alias("__filled"))
+        rolled = rolled.join(known, by, "left")
+        enough = F.col("__filled") >= window
+    else:
+        enough = binned.agg(filled).scalar() >= window
     rolled = rolled.select(*by, F.col("bin_end").alias("__aligned"),
-                           *[F.when(nonempty >= window, F.col(c + "__r")).alias(n)
+                           *[F.when(enough, F.col(c + "__r")).alias(n)
                              for c, n in zip(cols, names)])
     out = df.withColumn("__aligned", align_up(time_col, step))
     return out.join(rolled, by + ["__aligned"], "left").drop("__aligned")
