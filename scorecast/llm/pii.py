@@ -12,13 +12,15 @@ characters is tried from its first character only, which finds the same
 leftmost matches without trying every suffix of a long run.
 
 Defined results
-  * null or empty text: no span;
+  * null or empty text: no span; dense matches in one long text are all found,
+    in time that grows with their number;
   * null ids and repeated rows: one result row per input row; an empty table
     gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +60,9 @@ CONTEXT = {
     "secret": ["private", "credential", "auth", "access"],
 }
 CONTEXT_CHARS = 40
+RUN = 128    # items of a scan between two noted states
+SPAN = "struct<start:int,match:string>"
+PIECE = 256  # characters of a piece of text, at least CONTEXT_CHARS
 
 # fixed values: length of an IBAN -> country codes
 IBAN_LENGTHS = {
@@ -126,8 +131,47 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _iban(text: Column, located: Column) -> Column:
-    """Candidates cut at an end that mod-97 confirms, without overlap.
+def _scan(items: Column, emitted: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """Outputs of ``step(state, item) -> (state, output)``, with whole-number
+    states from 0 and outputs of type ``emitted``.
+
+    Spark copies an accumulator at every item. So a first pass carries the
+    states alone and notes one per ``RUN`` items, a second one goes through
+    each run from its noted state; no step copies the outputs so far.
+    ``items`` must be a projected column, as lambdas read it.
+    """
+    def note(acc: Column, x: Column) -> Column:
+        state, n = step(acc["state"], x)[0], acc["n"] + 1
+        return F.struct(state.alias("state"), n.alias("n"),
+                        F.when(n % RUN == 0, F.concat(acc["notes"], F.array(state))).otherwise(acc["notes"]).alias("notes"))
+
+    def put(acc: Column, x: Column) -> Column:
+        state, out = step(acc["state"], x)
+        return F.struct(state.alias("state"), F.concat(acc["out"], F.array(out)).alias("out"))
+
+    zero = F.lit(0)
+    notes = F.aggregate(items, F.struct(zero.alias("state"), zero.alias("n"), F.array(zero).alias("notes")),
+                        note, lambda acc: acc["notes"])
+    return F.flatten(F.transform(notes, lambda state, run: F.aggregate(
+        F.slice(items, run * RUN + 1, F.lit(RUN)),
+        F.struct(state.alias("state"), F.array().cast(f"array<{emitted}>").alias("out")), put, lambda acc: acc["out"])))
+
+
+def _cut_text(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` characters, so that a place in it is
+    read without walking over all of the text before it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), 0)
+
+
+def _at(pieces: Column, start: Column, length: Column) -> Column:
+    """``length`` (at most ``PIECE``) characters from code point ``start``."""
+    i = F.floor(start / PIECE).cast("int")
+    near = F.concat(F.coalesce(F.get(pieces, i), F.lit("")), F.coalesce(F.get(pieces, i + 1), F.lit("")))
+    return F.substr(near, start - i * PIECE + 1, length)
+
+
+def _iban_cut(pieces: Column, located: Column) -> Column:
+    """Candidates cut at an end that mod-97 confirms.
 
     An end stands before a blank of the candidate, or is its last character
     with no letter or digit behind. The end that gives the country's length is
@@ -138,7 +182,7 @@ def _iban(text: Column, located: Column) -> Column:
     def cut(s: Column) -> Column:
         match = s["match"]
         last = F.length(match)
-        closed = ~F.substr(text, s["start"] + last + 1, F.lit(1)).rlike("[A-Za-z0-9]")
+        closed = ~_at(pieces, s["start"] + last, F.lit(1)).rlike("[A-Za-z0-9]")
 
         def bare(e: Column) -> Column:
             return F.regexp_replace(F.substr(match, F.lit(1), e), " ", "")
@@ -151,34 +195,44 @@ def _iban(text: Column, located: Column) -> Column:
             F.coalesce(F.length(bare(e)) == usual, F.lit(False)).alias("usual"), e.alias("end"))))
         return F.struct(s["start"].alias("start"), F.substr(match, F.lit(1), best["end"]).alias("match"))
 
-    def add(acc: Column, s: Column) -> Column:
-        before = F.try_element_at(acc, F.lit(-1))
-        free = (F.size(acc) == 0) | (s["start"] >= before["start"] + F.length(before["match"]))
-        return F.when(free, F.concat(acc, F.array(s))).otherwise(acc)
+    return F.filter(F.transform(located, cut), lambda s: s["match"].isNotNull())
 
-    valid = F.filter(F.transform(located, cut), lambda s: s["match"].isNotNull())
-    return F.aggregate(valid, F.array().cast("array<struct<start:int,match:string>>"), add)
 
+def _without_overlap(spans: Column) -> Column:
+    """Left to right, spans that begin behind the last one taken."""
+    def free(end: Column, s: Column) -> tuple[Column, Column]:
+        ok = s["start"] >= end
+        return F.when(ok, s["start"] + F.length(s["match"])).otherwise(end), F.when(ok, s)
 
-def _spans(text: Column, kind: str, found: Column, between: Column) -> Column:
-    """array<struct<kind,start,end,score>> of the confirmed matches."""
-    lengths = F.zip_with(F.transform(F.slice(between, 1, F.size(found)), lambda x: F.length(x)),
-                         F.transform(found, lambda x: F.lit(4) if kind == "iban" else F.length(x)),
-                         lambda a, b: F.struct(a.alias("gap"), b.alias("len")))
+    return F.filter(_scan(spans, SPAN, free), lambda s: s.isNotNull())
+
+
+def _paired(found: Column, between: Column) -> Column:
+    """array<struct<gap,match>>: every match with the length of the piece before it."""
+    return F.zip_with(F.slice(between, 1, F.size(found)), found,
+                      lambda a, b: F.struct(F.length(a).alias("gap"), b.alias("match")))
 
-    def one(i: Column) -> Column:
-        start = F.aggregate(F.slice(lengths, 1, i - 1), F.lit(0), lambda acc, x: acc + x["gap"] + x["len"]) \
-            + F.get(lengths, i - 1)["gap"]
-        return F.struct(start.alias("start"), F.get(found, i - 1).alias("match"))
 
-    located = F.transform(F.sequence(F.lit(1), F.size(found)), one)
-    kept = _iban(text, located) if kind == "iban" else F.filter(located, lambda s: confirmed(kind, s["match"]))
+def _located(kind: str, pairs: Column) -> Column:
+    """array<struct<start,match>>: a match starts after all pieces between the
+    matches, and all matches, before it."""
+    def place(pos: Column, x: Column) -> tuple[Column, Column]:
+        start = pos + x["gap"]
+        # the pattern of an iban consumes its first four characters only
+        width = F.lit(4) if kind == "iban" else F.length(x["match"])
+        return start + width, F.struct(start.alias("start"), x["match"].alias("match"))
+
+    return _scan(pairs, SPAN, place)
+
+
+def _spans(pieces: Column, kind: str, located: Column) -> Column:
+    """array<struct<kind,start,end,score>> of the confirmed matches."""
+    kept = _without_overlap(located) if kind == "iban" else F.filter(located, lambda s: confirmed(kind, s["match"]))
 
     def scored(s: Column) -> Column:
         start, end = s["start"], s["start"] + F.length(s["match"])
         lo = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-        near = F.lower(F.concat(F.substr(text, lo + 1, start - lo), F.lit(" "),
-                                F.substr(text, end + 1, F.lit(CONTEXT_CHARS))))
+        near = F.lower(F.concat(_at(pieces, lo, start - lo), F.lit(" "), _at(pieces, end, F.lit(CONTEXT_CHARS))))
         raised = F.lit(False)
         for w in CONTEXT[kind]:
             raised = raised | near.contains(w)
@@ -186,7 +240,7 @@ def _spans(text: Column, kind: str, found: Column, between: Column) -> Column:
                         (F.lit(SCORES[kind]) + F.when(raised, 0.25).otherwise(0.0)).alias("score"))
 
     none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
-    return F.when(F.size(found) > 0, F.transform(kept, scored)).otherwise(none)
+    return F.when(F.size(located) > 0, F.transform(kept, scored)).otherwise(none)
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFrame:
@@ -206,7 +260,15 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataF
                           .otherwise(none).alias(m[k]) for k in kinds])
     df = df.select("*", *[F.when(F.size(m[k]) > 0, F.split(text, PATTERNS[k], -1)).otherwise(none).alias(p[k])
                           for k in kinds])
-    spans = F.concat(*[_spans(text, k, F.col(m[k]), F.col(p[k])) for k in kinds])
+    some = F.lit(False)
+    for k in kinds:
+        some = some | (F.size(m[k]) > 0)
+    # projected before they are used: an expression inside a lambda is computed per element
+    df = df.select(*[F.col(c) for c in keep], F.when(some, _cut_text(text)).otherwise(none).alias(t),
+                   *[F.when(F.size(m[k]) > 0, _paired(F.col(m[k]), F.col(p[k]))).alias(m[k]) for k in kinds])
+    df = df.withColumns({m[k]: F.when(F.size(m[k]) > 0, _located(k, F.col(m[k]))) for k in kinds})
+    df = df.withColumn(m["iban"], F.when(F.size(m["iban"]) > 0, _iban_cut(text, F.col(m["iban"]))))
+    spans = F.concat(*[_spans(text, k, F.col(m[k])) for k in kinds])
     return df.select(*[F.col(c) for c in keep], spans.alias(out))
 
 
