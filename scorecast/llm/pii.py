@@ -251,24 +251,24 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataF
     keep = [c for c in docs.columns if c.lower() != out.lower()]
     t = free_name(docs.columns, "pii_text")
     m = {k: free_name(docs.columns, f"pii_m_{k}") for k in kinds}
-    p = {k: free_name(docs.columns, f"pii_p_{k}") for k in kinds}
     text = F.col(t)
     gate = Gate(text.contains("@"), text.rlike("[0-9]"))
     none = F.array().cast("array<string>")
     df = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias(t))
     df = df.select("*", *[F.when(gate.of(k, text), F.regexp_extract_all(text, F.lit(PATTERNS[k]), 1 if k == "iban" else 0))
                           .otherwise(none).alias(m[k]) for k in kinds])
-    df = df.select("*", *[F.when(F.size(m[k]) > 0, F.split(text, PATTERNS[k], -1)).otherwise(none).alias(p[k])
-                          for k in kinds])
     some = F.lit(False)
     for k in kinds:
         some = some | (F.size(m[k]) > 0)
-    # projected before they are used: an expression inside a lambda is computed per element
+    # projected before they are used, as an expression inside a lambda is computed
+    # per element; the text goes on in one form only
     df = df.select(*[F.col(c) for c in keep], F.when(some, _cut_text(text)).otherwise(none).alias(t),
-                   *[F.when(F.size(m[k]) > 0, _paired(F.col(m[k]), F.col(p[k]))).alias(m[k]) for k in kinds])
-    df = df.withColumns({m[k]: F.when(F.size(m[k]) > 0, _located(k, F.col(m[k]))) for k in kinds})
-    df = df.withColumn(m["iban"], F.when(F.size(m["iban"]) > 0, _iban_cut(text, F.col(m["iban"]))))
-    spans = F.concat(*[_spans(text, k, F.col(m[k])) for k in kinds])
+                   *[F.when(F.size(m[k]) > 0, _paired(F.col(m[k]), F.split(text, PATTERNS[k], -1))).alias(m[k]) for k in kinds])
+    found = {k: _located(k, F.col(m[k])) for k in kinds}
+    pieces = F.col(t)
+    found["iban"] = _iban_cut(pieces, found["iban"])
+    df = df.withColumns({m[k]: F.when(F.size(m[k]) > 0, found[k]) for k in kinds})
+    spans = F.concat(*[_spans(pieces, k, F.col(m[k])) for k in kinds])
     return df.select(*[F.col(c) for c in keep], spans.alias(out))
 
 
