@@ -155,10 +155,6 @@ def ngrams(toks, n_min: int = 1, n_max: int = 1) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def first_line(c) -> Column:
-    return F.substring_index(_c(c), "\n", 1)
-
-
 def python_word_tokenizer(min_len: int = 2):
     """A user tokenizer as an Arrow-batched pandas UDF (Python's
     Unicode ``\\w``, lowercase, tokens of ``min_len``+ characters) - the

@@ -32,11 +32,6 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def fill_null(df: DataFrame, value, cols) -> DataFrame:
-    """Null -> constant in the given columns."""
-    return df.na.fill(value, subset=list(cols))
-
-
 def drop_cols(df: DataFrame, *cols: str) -> DataFrame:
     """P4."""
     return df.drop(*cols)

@@ -214,7 +214,3 @@ def aligned_sum(df: DataFrame, cols, time_col: str = "Time", step_unit: str = "w
     by = list(by or [])
     out = resample(df, cols, time_col, step, "epoch", "sum", 0, by=by)
     return out.withColumnRenamed("bin_end", "aligned_time").drop("bin")
-
-
-def label_ts(c: str | Column) -> Column:
-    return seconds_to_ts(c)
