@@ -1,21 +1,23 @@
 """Toxicity scores from the nearest labelled examples.
 
-Terms are lower-cased words and their prefixes of 4 to 7 letters. From a
-bounded, stratified sample of labelled rows (``Settings.toxic_examples`` and
-``clean_examples``) the terms that are associated with label 1 are selected
-(chi-square of presence against label). Term weights are TF-IDF with document
-frequencies counted over all documents. The sampled examples form an inverted
-index whose postings are cut into blocks with the largest weight of each term
-per block: the blocks with the highest score bounds are searched first, then
-only those whose bound can still reach the ``k`` nearest examples, so the
-nearest examples and their cosines are exact. Their cosine-weighted vote, shrunk towards the
-base rate, is calibrated by a logistic curve fitted on further labelled rows
-(``calibration_rows``) that are not in the index. The nearest examples are the
-evidence of a score.
+Terms are lower-cased words. A bounded sample of labelled rows
+(``Settings.toxic_examples``, ``clean_examples``, ``example_chars``) gives the
+examples; every word of theirs is a term and is indexed. A weight is
+TF-IDF, with document frequencies counted over all documents, times the term's
+relevance: ``floor + x / (x + half)`` with x the chi-square of the term's presence
+against the label among the examples. It is positive for every term, so all
+documents that share a word with an example have neighbours. The examples' unit
+vectors form an inverted index whose postings are cut into blocks with the
+largest weight of each term per block: the blocks with the highest score bounds
+are searched first, then only those whose bound can still reach the ``k`` nearest
+examples, so the nearest examples and their cosines are exact. Their
+cosine-weighted vote, shrunk towards the base rate, is calibrated by a logistic
+curve fitted on further labelled rows (``calibration_rows``) that are not in the
+index. The nearest examples are the evidence of a score.
 
 Defined results
-  * null or empty text, or no selected term: the score of a vote without
-    evidence;
+  * null or empty text, or no word of any example: the score of a vote without
+    evidence; words that no example holds have no part in a cosine;
   * no usable labelled rows: every score is 0;
   * a labelled id with several rows counts once (smallest text), one with
     contradicting labels not at all; null ids are scored and never learned from.
@@ -31,89 +33,74 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from scorecast.llm.common import arrow_map, free_name, written
 
 WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5, 6, 7)
-# A worker's memo of words is emptied beyond this many entries.
-MEMO_ENTRIES = 500_000
 PROBE = 8  # blocks that give the first bound of a search
+# A worker's memo of scored texts is emptied beyond this many entries.
+MEMO_ENTRIES = 2000
 
 
 @dataclass(frozen=True)
 class Settings:
     """Bounds of the learned model; none of them bounds the scored rows."""
 
-    toxic_examples: int = 4000
-    clean_examples: int = 6000
-    calibration_rows: int = 6000
-    max_terms: int = 3000
-    min_chi_square: float = 25.0
-    min_toxic_rows: int = 4
+    toxic_examples: int = 1500
+    clean_examples: int = 2500
+    calibration_rows: int = 2000
+    example_chars: int = 40_000_000  # of all sampled texts; the text that crosses it is the last
+    relevance_floor: float = 0.02
+    relevance_half: float = 25.0
     k: int = 25
     shrink: float = 0.3
     block: int = 64
 
 
-def word_terms(word: str) -> list[str]:
-    """The word itself and its proper prefixes (marked by a trailing tilde)."""
-    return [word, *(word[:n] + "~" for n in PREFIXES if len(word) > n)]
-
-
-def text_terms(text: str) -> Counter:
-    out: Counter = Counter()
-    for w, n in Counter(WORD.findall(text.lower())).items():
-        for t in word_terms(w):
-            out[t] += n
-    return out
-
-
 def text_key(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def term_vectors(docs: DataFrame, id_col: str, text_col: str, terms: list[str]) -> DataFrame:
-    """(id, text_key, terms, counts): counts of the selected terms, one row per
-    row; ``text_key`` is a hash of the text."""
-    index = {t: i for i, t in enumerate(terms)}
-    src = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("text_key"),
-                      F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate(values) if values else np.empty(0, dtype=np.int32)
+    ends = np.cumsum([0, *(len(v) for v in values)])
+    return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(flat, type=pa.int32()))
+
+
+def term_vectors(docs: DataFrame, terms: Broadcast, keep: list[str], text_col: str = "text") -> DataFrame:
+    """``keep`` and (terms, counts) of every row: numbers of the known words of
+    its text, ascending, with their counts. ``terms`` is a broadcast word list."""
+    src = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
+    out = StructType([*src.schema.fields[:-1], *(StructField(c, ArrayType(IntegerType())) for c in ("terms", "counts"))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, tuple[int, ...]] = {}
+        index = {w: i for i, w in enumerate(terms.value)}
         for b in it:
             ts, cs = [], []
-            for t in b.column(2).to_pylist():
-                got: Counter = Counter()
-                for w, n in Counter(WORD.findall(t.lower())).items():
-                    hit = memo.get(w)
-                    if hit is None:
-                        if len(memo) >= MEMO_ENTRIES:
-                            memo.clear()
-                        hit = memo[w] = tuple(index[x] for x in word_terms(w) if x in index)
-                    for i in hit:
-                        got[i] += n
-                order = sorted(got)
-                ts.append(order)
-                cs.append([got[i] for i in order])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(ts, type=pa.list_(pa.int32())), pa.array(cs, type=pa.list_(pa.int32()))],
-                names=["id", "text_key", "terms", "counts"])
+            for t in b.column(len(keep)).to_pylist():
+                found = sorted((index[w], n) for w, n in Counter(WORD.findall(t.lower())).items() if w in index)
+                pairs = np.array(found, dtype=np.int32).reshape(-1, 2)
+                ts.append(pairs[:, 0])
+                cs.append(pairs[:, 1])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], _lists(ts), _lists(cs)], names=out.names)
 
-    return arrow_map(src, "id long, text_key long, terms array<int>, counts array<int>", run)
+    return arrow_map(src, out, run)
 
 
-def select_terms(examples: DataFrame, settings: Settings) -> list[str]:
-    """Terms associated with label 1 in (text, toxic) rows, strongest first."""
+def example_terms(examples: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Every word of the (text, toxic) rows, in code-point order, and its
+    chi-square against the label."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             n: Counter = Counter()
             pos: Counter = Counter()
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = text_terms(t).keys()
+                found = set(WORD.findall(t.lower()))
                 n.update(found)
                 if y:
                     pos.update(found)
@@ -123,79 +110,86 @@ def select_terms(examples: DataFrame, settings: Settings) -> list[str]:
 
     total = examples.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("p")).first()
     n_all, p_all = total["n"], total["p"] or 0
-    if not p_all or p_all == n_all:
-        return []
-    counts = (arrow_map(examples.select("text", "toxic"), "term string, pos long, n long", run)
-              .groupBy("term").agg(F.sum("pos").alias("a"), F.sum("n").alias("n")))
-    a, n = F.col("a").cast("double"), F.col("n").cast("double")
-    b = n - a
-    c, d = F.lit(float(p_all)) - a, F.lit(float(n_all - p_all)) - b
-    chi = F.lit(float(n_all)) * (a * d - b * c) ** 2 / F.greatest((a + b) * (c + d) * (a + c) * (b + d), F.lit(1.0))
-    rows = (counts.withColumn("chi", chi)
-            .filter((F.col("a") >= settings.min_toxic_rows) & (a * n_all > n * p_all)
-                    & (F.col("chi") > settings.min_chi_square))
-            .orderBy(F.desc("chi"), "term").limit(settings.max_terms).select("term").collect())
-    return [r["term"] for r in rows]
+    # bounded by Settings.example_chars
+    got = (arrow_map(examples.select("text", "toxic"), "term string, pos long, n long", run)
+           .groupBy("term").agg(F.sum("pos").alias("a"), F.sum("n").alias("n")).toArrow().sort_by("term"))
+    a, n = (got.column(c).to_numpy().astype(float) for c in ("a", "n"))
+    b, c = n - a, p_all - a
+    d = (n_all - p_all) - b
+    chi = n_all * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * (a + c) * (b + d), 1.0)
+    return got.column("term").to_pylist(), chi
+
+
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers start[i], ..., start[i] + length[i] - 1 of all i, in order."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
 
 
 @dataclass
 class BlockMaxIndex:
     """Inverted index of unit vectors with block maxima."""
 
-    idf: np.ndarray
+    weight: np.ndarray                      # per term: IDF times relevance
     block: int
     ids: np.ndarray = field(init=False)
     toxic: np.ndarray = field(init=False)
-    rows: list = field(init=False)       # per term: example numbers, ascending
-    weights: list = field(init=False)    # per term: their weights
+    rows: np.ndarray = field(init=False)    # postings by term, then example number
+    parts: np.ndarray = field(init=False)   # their weights
+    cells: np.ndarray = field(init=False)   # per term: its first (term, block) cell; one more at the end
+    blocks: np.ndarray = field(init=False)  # per cell: block, largest weight, first posting (one more)
     maxima: np.ndarray = field(init=False)
+    first: np.ndarray = field(init=False)
 
-    def vector(self, terms: list[int], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, dtype=np.int64)
-        w = (1 + np.log(np.asarray(counts, dtype=float))) * self.idf[t]
+        w = (1 + np.log(np.asarray(counts, dtype=float))) * self.weight[t]
         return t, w / math.sqrt(float(w @ w)) if len(t) else w
 
-    def build(self, examples: list[tuple[int, int, list[int], list[int]]]) -> "BlockMaxIndex":
+    def build(self, examples: list[tuple]) -> "BlockMaxIndex":
         """examples: (id, toxic, terms, counts); those without terms have no
         cosine and are left out. Similar examples get neighbouring numbers."""
-        vecs = [(i, y, *self.vector(t, c)) for i, y, t, c in examples if t]
+        vecs = [(i, y, *self.vector(t, c)) for i, y, t, c in examples if len(t)]
         vecs.sort(key=lambda v: (int(v[2][np.argmax(v[3])]), v[0]))
         self.ids = np.array([v[0] for v in vecs], dtype=np.int64)
         self.toxic = np.array([v[1] for v in vecs], dtype=float)
-        blocks = -(-len(vecs) // self.block)
-        post: list[list[tuple[int, float]]] = [[] for _ in self.idf]
-        for row, v in enumerate(vecs):
-            for t, w in zip(v[2].tolist(), v[3].tolist()):
-                post[t].append((row, w))
-        self.rows = [np.array([r for r, _ in p], dtype=np.int64) for p in post]
-        self.weights = [np.array([w for _, w in p]) for p in post]
-        self.maxima = np.zeros((len(self.idf), blocks))
-        for t, (r, w) in enumerate(zip(self.rows, self.weights)):
-            np.maximum.at(self.maxima[t], r // self.block, w)
+        term = np.concatenate([v[2] for v in vecs]) if vecs else np.empty(0, dtype=np.int64)
+        row = np.repeat(np.arange(len(vecs)), [len(v[2]) for v in vecs])
+        order = np.argsort(term, kind="stable")  # rows stay ascending within a term
+        term, self.rows = term[order], row[order]
+        self.parts = (np.concatenate([v[3] for v in vecs]) if vecs else np.empty(0))[order]
+        cell = term * (len(vecs) // self.block + 1) + self.rows // self.block
+        start = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.first = np.append(start, len(cell))
+        self.blocks = self.rows[start] // self.block
+        self.maxima = np.maximum.reduceat(self.parts, start) if len(start) else np.empty(0)
+        self.cells = np.searchsorted(term[start], np.arange(len(self.weight) + 1))
         return self
 
-    def nearest(self, terms: list[int], counts: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _cosines(self, cells: np.ndarray, w: np.ndarray) -> np.ndarray:
+        n = self.first[cells + 1] - self.first[cells]
+        at = _ranges(self.first[cells], n)
+        return np.bincount(self.rows[at], weights=self.parts[at] * np.repeat(w, n), minlength=len(self.ids))
+
+    def nearest(self, terms, counts, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the k nearest, exactly; ties go to
         the smaller id. Only examples that share a term are returned."""
-        if not terms or not len(self.ids):
+        if not len(terms) or not len(self.ids):
             return np.empty(0, dtype=np.int64), np.empty(0)
         t, w = self.vector(terms, counts)
-        bound = w @ self.maxima[t]
-        rows = np.concatenate([self.rows[i] for i in t])
-        parts = np.concatenate([self.weights[i] * x for i, x in zip(t, w)])
-        block = rows // self.block
+        n = self.cells[t + 1] - self.cells[t]
+        cells, w = _ranges(self.cells[t], n), np.repeat(w, n)
+        block = self.blocks[cells]
+        bound = np.bincount(block, weights=w * self.maxima[cells], minlength=len(self.ids) // self.block + 1)
         live = bound > 0
         if live.sum() > PROBE:
             # the most promising blocks give a lower bound of the k-th cosine;
             # blocks that cannot reach it are not looked at
             probe = np.zeros(len(bound), dtype=bool)
             probe[np.argpartition(-bound, PROBE)[:PROBE]] = True
-            on = probe[block]
-            s = np.bincount(rows[on], weights=parts[on], minlength=k)
-            live &= bound >= np.partition(s, len(s) - k)[len(s) - k] - 1e-12
-            on = live[block]
-            rows, parts = rows[on], parts[on]
-        cos = np.bincount(rows, weights=parts)
+            s = self._cosines(cells[probe[block]], w[probe[block]])
+            if len(s) > k:
+                live &= bound >= np.partition(s, len(s) - k)[len(s) - k] - 1e-12
+        cos = self._cosines(cells[live[block]], w[live[block]])
         near = np.flatnonzero(cos)
         if len(near) > k:
             near = near[cos[near] >= np.partition(cos[near], len(near) - k)[len(near) - k] - 1e-12]
@@ -205,14 +199,13 @@ class BlockMaxIndex:
 
 @dataclass
 class ToxicityModel:
-    terms: list[str]
     index: BlockMaxIndex | None
     base: float
     settings: Settings
     slope: float = 1.0
     shift: float = 0.0
 
-    def vote(self, terms: list[int], counts: list[int]) -> tuple[float, np.ndarray]:
+    def vote(self, terms, counts) -> tuple[float, np.ndarray]:
         rows, sims = self.index.nearest(terms, counts, self.settings.k)
         s = self.settings.shrink
         return (float(sims @ self.index.toxic[rows]) + s * self.base) / (float(sims.sum()) + s), self.index.ids[rows[:5]]
@@ -264,6 +257,15 @@ def _sample(labelled: DataFrame, s: Settings) -> DataFrame:
     return out[0].union(out[1]).union(out[2])
 
 
+def _within_chars(examples: DataFrame, bound: int) -> DataFrame:
+    """The rows, in the order of a hash of the id, up to the one that crosses
+    ``bound`` characters in all. The window sees the sample's rows only."""
+    before = Window.orderBy(F.xxhash64("id", F.lit("chars")), "id").rowsBetween(Window.unboundedPreceding, -1)
+    kept = (examples.select("id", F.sum(F.length("text")).over(before).alias("before"))
+            .filter(F.coalesce("before", F.lit(0)) < bound).select("id"))
+    return examples.join(F.broadcast(kept), "id", "left_semi")
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", settings: Settings = Settings()) -> DataFrame:
     """(doc_id, text_key, score, evidence) for every row of ``docs``.
@@ -271,27 +273,29 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column | None = N
     ``learn`` is a condition on ``labels`` that says which rows may be learned
     from. ``evidence`` holds the ids of the nearest labelled examples.
     """
-    spark = docs.sparkSession
-    # bounded by the settings, so that both broadcasts are
+    context = docs.sparkSession.sparkContext
+    # bounded by the settings, and so are its broadcast, its words and vectors
     sample = written(_sample(_labelled(labels, id_col, label_col, learn), settings), "tox-sample")
-    fit = F.broadcast(sample.filter("part = 0"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    examples = written(texts.join(fit, "id").groupBy("id", "toxic").agg(F.min("text").alias("text")), "tox-examples")
-    terms = select_terms(examples, settings)
-    vectors = written(term_vectors(docs, id_col, text_col, terms), "tox-vectors")
-    model = _fit(vectors, sample, terms, settings)
-    shared = spark.sparkContext.broadcast(model)
+    examples = written(_within_chars(written(
+        texts.join(F.broadcast(sample), "id").groupBy("id", "toxic", "part").agg(F.min("text").alias("text")),
+        "tox-sampled"), settings.example_chars), "tox-examples")
+    words, chi = example_terms(examples.filter("part = 0"))
+    terms = context.broadcast(words)
+    src = texts.withColumn("text_key", text_key("text"))
+    vectors = written(term_vectors(src, terms, ["id", "text_key"]), "tox-vectors", compression="zstd")
+    shared = context.broadcast(_fit(vectors, examples, terms, chi, settings))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         memo: dict[tuple, tuple[float, list[int]]] = {}
         for b in it:
             scores, ids = [], []
-            for t, c in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                key = (*t, *c)
+            for t, c in _arrays(b.column(2), b.column(3)):
+                key = (t.tobytes(), c.tobytes())
                 got = memo.get(key)
                 if got is None:
-                    if len(memo) >= 100_000:
+                    if len(memo) >= MEMO_ENTRIES:
                         memo.clear()
                     if m.index is None:
                         got = (0.0, [])
@@ -305,29 +309,37 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column | None = N
                 [b.column(0), b.column(1), pa.array(scores, type=pa.float64()), pa.array(ids, type=pa.list_(pa.int64()))],
                 names=["doc_id", "text_key", "score", "evidence"])
 
-    return vectors.mapInArrow(run, "doc_id long, text_key long, score double, evidence array<long>")
+    return arrow_map(vectors, "doc_id long, text_key long, score double, evidence array<long>", run)
 
 
-def _fit(vectors: DataFrame, sample: DataFrame, terms: list[str], settings: Settings) -> ToxicityModel:
+def _arrays(terms: pa.Array, counts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The vectors of two list columns of equal lengths."""
+    ends = np.cumsum([0, *pc.list_value_length(terms).to_pylist()])
+    t, c = terms.flatten().to_numpy(), counts.flatten().to_numpy()
+    for i, j in zip(ends[:-1], ends[1:]):
+        yield t[i:j], c[i:j]
+
+
+def _fit(vectors: DataFrame, examples: DataFrame, terms: Broadcast, chi: np.ndarray, settings: Settings) -> ToxicityModel:
     """Document frequencies over all documents; index and calibration from the
     bounded sample."""
-    n = vectors.count()
-    df = np.zeros(len(terms))
-    for r in (vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-              .collect()):  # one row per selected term
-        df[r["t"]] = r["n"]
-    idf = np.log((1 + n) / (1 + df)) + 1
-    rows = (vectors.join(F.broadcast(sample), "id").groupBy("id", "toxic", "part")
-            .agg(F.min(F.struct("terms", "counts")).alias("v")).collect())  # at most the sample's rows
-    fit = [(r["id"], r["toxic"], r["v"]["terms"], r["v"]["counts"]) for r in rows if r["part"] == 0]
-    held = [r for r in rows if r["part"] == 1]
+    found = term_vectors(examples, terms, ["id", "toxic", "part"]).toArrow().sort_by("id").combine_chunks()
+    cols = [found.column(c).to_pylist() for c in ("id", "toxic", "part")]
+    lists = [found.column(c).combine_chunks() for c in ("terms", "counts")]
+    rows = [(*r, *v) for r, v in zip(zip(*cols), _arrays(*lists))]
+    fit = [(i, y, t, c) for i, y, part, t, c in rows if part == 0]
     if not fit:
-        return ToxicityModel(terms, None, 0.0, settings)
-    near = held or [r for r in rows]
-    base = float(np.mean([r["toxic"] for r in near]))
-    model = ToxicityModel(terms, BlockMaxIndex(idf, settings.block).build(fit), base, settings)
-    x = np.array([_logit(model.vote(r["v"]["terms"], r["v"]["counts"])[0]) for r in near])
-    y = np.array([r["toxic"] for r in near], dtype=float)
+        return ToxicityModel(None, 0.0, settings)
+    n = vectors.count()
+    counted = (vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+               .toArrow())  # one row per term of the examples
+    df = np.zeros(len(chi))
+    df[counted.column("t").to_numpy()] = counted.column("n").to_numpy()
+    weight = (np.log((1 + n) / (1 + df)) + 1) * (settings.relevance_floor + chi / (chi + settings.relevance_half))
+    near = [r for r in rows if r[2] == 1] or rows
+    y = np.array([r[1] for r in near], dtype=float)
+    model = ToxicityModel(BlockMaxIndex(weight, settings.block).build(fit), float(y.mean()), settings)
+    x = np.array([_logit(model.vote(r[3], r[4])[0]) for r in near])
     if 0 < y.sum() < len(y):
         model.slope, model.shift = _logistic_fit(x, y)
     return model
