@@ -13,7 +13,8 @@ folds. The final models count all labelled rows and read whole urls as given.
 
 Everything the models know are counts of character n-grams over all labelled
 urls, kept as distributed tables: a url is the sum of the log ratios of its
-n-grams, so the ratio is computed once per distinct n-gram and joined back.
+n-grams, so the ratios (of the final models and of those without a fold) are
+computed once per distinct n-gram and joined back.
 
 Defined results
   * null url or no ``://``: host and path are empty and no rule fits; the empty
@@ -29,7 +30,7 @@ from __future__ import annotations
 import string
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorecast.llm.common import free_name, written
@@ -70,40 +71,42 @@ def _windows(text: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substr(framed, i, F.lit(ORDER + 1)))
 
 
-def log_ratios(grams: DataFrame, by: tuple[str, ...] = (), wanted: Column | None = None) -> DataFrame:
-    """(by..., gram, ratio): log P(last char | rejected) - log P(... | accepted).
+def log_ratios(grams: DataFrame, models: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """(gram, one column per model): log P(last char | rejected) - log P(... | accepted).
 
-    ``grams``: (gram, accepted, rejected) with one row per distinct full
-    window; both counts are 0 for windows of unlabelled urls only. The counts
-    of the shorter grams are sums over the full windows that end with them.
-    ``by`` names columns that tell models apart; only ``wanted`` rows get a
-    ratio, all are counted.
+    ``grams``: one row per distinct full window and, per model, a column of
+    accepted and one of rejected counts (by default ``ratio`` from ``accepted``
+    and ``rejected``); counts are 0 for windows of unlabelled urls only. The
+    counts of the shorter grams are sums over the full windows that end with
+    them. The orders are interpolated from the shortest upwards: a gram meets
+    its context in a window of at most as many rows as there are characters,
+    and its probability of the next lower order by one join.
     """
+    models = models or {"ratio": ("accepted", "rejected")}
+    counts = [c for pair in models.values() for c in pair]
     width = ORDER + 1
-    counted = grams.filter("accepted + rejected > 0")
-    shorter = F.transform(F.sequence(F.lit(1), F.lit(width)),
-                          lambda n: F.struct(n.alias("n"), F.substr(F.col("gram"), width - n + 1, n).alias("g")))
-    by_gram = written(counted.select(*by, F.explode(shorter).alias("x"), "accepted", "rejected")
-                      .groupBy(*by, F.col("x.n").alias("n"), F.col("x.g").alias("g"))
-                      .agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r")), "url-grams")
-    by_context = (by_gram.groupBy(*by, "n", F.substr("g", F.lit(1), F.col("n") - 1).alias("ctx"))
-                  .agg(F.sum("a").alias("na"), F.sum("r").alias("nr"),
-                       F.sum((F.col("a") > 0).cast("long")).alias("ta"),
-                       F.sum((F.col("r") > 0).cast("long")).alias("tr")))
-    asked = grams if wanted is None else grams.filter(wanted)
-    parts = (asked.select(*by, "gram", F.explode(shorter).alias("x"))
-             .select(*by, "gram", F.col("x.n").alias("n"), F.col("x.g").alias("g"))
-             .withColumn("ctx", F.substr("g", F.lit(1), F.col("n") - 1))
-             .join(by_gram, [*by, "n", "g"], "left").join(by_context, [*by, "n", "ctx"], "left"))
-    orders = parts.groupBy(*by, "gram").agg(F.array_sort(F.collect_list(F.struct(  # ORDER + 1 rows
-        "n", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("a", "r", "na", "nr", "ta", "tr")]))).alias("o"))
-
-    def smooth(c: str, n: str, t: str) -> Column:
-        def step(p: Column, x: Column) -> Column:
-            return F.when(x[n] > 0, (x[c] + x[t] * p) / (x[n] + x[t])).otherwise(p)
-        return F.aggregate("o", F.lit(1.0 / ALPHABET), step)
-
-    return orders.select(*by, "gram", (F.log(smooth("r", "nr", "tr")) - F.log(smooth("a", "na", "ta"))).alias("ratio"))
+    shorter = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda n: F.substr(F.col("gram"), width - n + 1, n))
+    by_gram = written(grams.select(F.explode(shorter).alias("g"), *counts)
+                      .groupBy("g").agg(*[F.sum(c).alias(c) for c in counts]), "url-grams")
+    lower = None
+    for n in range(1, width + 1):
+        context = Window.partitionBy(F.substr("g", F.lit(1), F.lit(n - 1)))
+        level = by_gram.filter(F.length("g") == n).select("g", *counts, *[
+            F.sum(x).over(context).alias(f"{k}_{c}") for c in counts
+            for k, x in (("n", F.col(c)), ("t", (F.col(c) > 0).cast("long")))])
+        if lower is not None:
+            level = level.join(lower, F.substr("g", F.lit(2), F.lit(n - 1)) == F.col("shorter"))
+        lower = level.select(F.col("g").alias("shorter"), *[_smoothed(c, lower is None).alias(f"p_{c}") for c in counts])
+    return lower.select(F.col("shorter").alias("gram"), *[
+        (F.log(f"p_{r}") - F.log(f"p_{a}")).alias(m) for m, (a, r) in models.items()])
+
+
+def _smoothed(c: str, lowest: bool) -> Column:
+    """Witten-Bell: the count and the lower order's share, where the context
+    (``n_`` occurrences, ``t_`` kinds) was seen; else the lower order."""
+    below = F.lit(1.0 / ALPHABET) if lowest else F.col(f"p_{c}")
+    n, kinds = F.col(f"n_{c}"), F.col(f"t_{c}")
+    return F.when(n > 0, (F.col(c) + kinds * below) / (n + kinds)).otherwise(below)
 
 
 def _logistic(hist: list[tuple[float, float, float]]) -> tuple[float, float]:
@@ -152,20 +155,20 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     # a fold that holds a whole class has no models of the others
     usable = [f for f, (a, r) in seen.items() if a < n_accepted and r < n_rejected]
     windows = urls.select("u", "accepted", "rejected", "fold", F.explode(_windows(F.col("u"))).alias("gram"))
-    by_fold = written(windows.groupBy("gram", "fold").agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r")), "url-windows")
-    model, others = F.col("model"), F.col("model") != F.col("fold")
-    grams = (by_fold.select("gram", "fold", "a", "r", F.explode(F.array(*[F.lit(m) for m in (FINAL, *sorted(usable))])).alias("model"))
-             .groupBy("model", "gram").agg(
-                 F.sum(F.when(others, F.col("a")).otherwise(0)).alias("accepted"),
-                 F.sum(F.when(others, F.col("r")).otherwise(0)).alias("rejected"),
-                 F.max((model == FINAL) | (~others & (F.col("a") + F.col("r") > 0))).alias("wanted")))
-    ratios = written(log_ratios(written(grams, "url-models"), ("model",), F.col("wanted")), "url-ratios")
-    final = ratios.filter(model == FINAL).drop("model")
-    scored = written(windows.join(final, "gram").groupBy("u").agg(
-        F.avg("ratio").alias("llr"), F.first("accepted").alias("accepted"), F.first("rejected").alias("rejected")), "url-scores")
-    crossed = (windows.filter(F.col("accepted") + F.col("rejected") > 0)
-               .join(ratios.withColumnRenamed("model", "fold"), ["gram", "fold"]).groupBy("u").agg(
-        F.avg("ratio").alias("llr"), F.first("accepted").alias("accepted"), F.first("rejected").alias("rejected")))
+    # one row per gram with the counts of every model: all rows, and those outside a fold
+    models = {FINAL: (F.col("accepted"), F.col("rejected"))}
+    models |= {f: tuple(F.when(F.col("fold") != f, F.col(c)).otherwise(0) for c in ("accepted", "rejected")) for f in sorted(usable)}
+    names = {f"ratio_{m + 1}": (f"a_{m + 1}", f"r_{m + 1}") for m in models}
+    sums = [F.sum(x).alias(c) for pair, cols in zip(names.values(), models.values()) for c, x in zip(pair, cols)]
+    grams = written(windows.groupBy("gram").agg(*sums), "url-windows")
+    ratios = written(log_ratios(grams, names), "url-ratios")
+    own = F.lit(None).cast("double")
+    for f in usable:
+        own = F.when(F.col("fold") == f, F.col(f"ratio_{f + 1}")).otherwise(own)
+    scored = written(windows.join(ratios, "gram").groupBy("u").agg(
+        F.avg(f"ratio_{FINAL + 1}").alias("llr"), F.avg(own).alias("cross"),
+        F.first("accepted").alias("accepted"), F.first("rejected").alias("rejected")), "url-scores")
+    crossed = scored.filter(F.col("accepted") + F.col("rejected") > 0).filter("cross IS NOT NULL").withColumn("llr", F.col("cross"))
     slope, shift = _calibration(crossed, scored)
     z = F.col("llr") * slope + shift
     ready = scored.select(F.col("u").alias(f"{key}r"), "llr", (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("p_block"))
