@@ -5,10 +5,11 @@ A text is cut at line ends, after full stops and after the list marks of lines
 characters than letters and digits become one blank). A known licence sentence
 is a run of whole pieces with its words, so it may be wrapped over lines or
 paragraphs and stand below a heading; where several start with one piece the
-longest is taken. The identifiers of a text, in order, are then matched against ordered rules: a
-rule is a sequence of identifiers that must stand side by side; rules are
-tried in their order (longest first) and take their identifiers away from
-later ones.
+longest is taken. Holder names inside sentences (``SLOTS``) may be any words. The identifiers
+of a text, in order, are then matched against ordered rules: a rule is a sequence
+of identifiers that must stand side by side, with no unknown piece (but list marks)
+between them; rules are tried in their order (longest first) and take their
+identifiers away from later ones.
 
 Defined results
   * null or empty text, and texts without a known sentence: no row;
@@ -72,6 +73,24 @@ SENTENCES = {
     "spdx-mit": "spdx license identifier mit",
     "spdx-apache": "spdx license identifier apache 2 0",
     "spdx-gpl3": "spdx license identifier gpl 3 0 or later",
+    "mit-project": "this project is licensed under the mit license",
+    "mit-software": "this software is licensed under the mit license",
+    "mit-see": "released under the mit license see license",
+    "gpl2-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl3-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation",
+    "cc-by-long": "creative commons attribution 4 0 international license",
+    "cc-by-sa-long": "creative commons attribution sharealike 4 0 international license",
+    "spdx-apache-or-mit": "spdx license identifier apache 2 0 or mit",
+    "spdx-mit-or-apache": "spdx license identifier mit or apache 2 0",
+    "spdx-bsd2": "spdx license identifier bsd 2 clause",
+    "spdx-bsd3": "spdx license identifier bsd 3 clause",
+    "spdx-gpl2-only": "spdx license identifier gpl 2 0 only",
+    "spdx-gpl2": "spdx license identifier gpl 2 0 or later",
+    "spdx-gpl3-only": "spdx license identifier gpl 3 0 only",
+    "spdx-lgpl21": "spdx license identifier lgpl 2 1 or later",
+    "spdx-agpl3": "spdx license identifier agpl 3 0 or later",
+    "spdx-mpl2": "spdx license identifier mpl 2 0",
+    "spdx-isc": "spdx license identifier isc",
 }
 
 # fixed values: licence -> sequence of identifiers; tried in this order
@@ -119,6 +138,33 @@ RULES = [
     ("CC-BY-NC-4.0", ["cc-by-nc"]),
     ("CC-BY-ND-4.0", ["cc-by-nd"]),
     ("CC0-1.0", ["cc0"]),
+    ("GPL-2.0-only", ["gpl2-only", "gpl-hope", "gpl-see"]),
+    ("GPL-3.0-only", ["gpl3-only", "gpl-hope", "gpl-see"]),
+    ("GPL-2.0-only", ["gpl2-only"]),
+    ("GPL-3.0-only", ["gpl3-only"]),
+    ("MIT", ["mit-project"]),
+    ("MIT", ["mit-software"]),
+    ("MIT", ["mit-see"]),
+    ("CC-BY-4.0", ["cc-by-long"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa-long"]),
+    ("Apache-2.0 OR MIT", ["spdx-apache-or-mit"]),
+    ("MIT OR Apache-2.0", ["spdx-mit-or-apache"]),
+    ("BSD-2-Clause", ["spdx-bsd2"]),
+    ("BSD-3-Clause", ["spdx-bsd3"]),
+    ("GPL-2.0-only", ["spdx-gpl2-only"]),
+    ("GPL-2.0-or-later", ["spdx-gpl2"]),
+    ("GPL-3.0-only", ["spdx-gpl3-only"]),
+    ("LGPL-2.1-or-later", ["spdx-lgpl21"]),
+    ("AGPL-3.0-or-later", ["spdx-agpl3"]),
+    ("MPL-2.0", ["spdx-mpl2"]),
+    ("ISC", ["spdx-isc"]),
+]
+
+# fixed values: before, after and replacement of holder names inside sentences
+SLOTS = [
+    ("neither the name of", "nor the names of its contributors", "the copyright holder"),
+    ("this software is provided by", "as is and any express", "the copyright holders and contributors"),
+    ("in no event shall", "be liable for any direct indirect", "the copyright holder or contributors"),
 ]
 
 # every known sentence holds one of these letter runs, and so does a text with one
@@ -126,6 +172,7 @@ MARKS = ("licen", "copyright", "warrant", "redistribut", "mpl", "cc0", "liab")
 
 
 CUT = "\x01"  # between the pieces of a text
+GAP = "~"     # stands for unknown pieces; no rule holds it
 LIST_MARK = r"(?m)^([^\p{L}\p{N}\n\r]*(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)])\s+"
 
 
@@ -136,14 +183,26 @@ def pieces(text: Column) -> Column:
     return F.regexp_replace(F.concat(F.lit(CUT), t, F.lit(CUT)), f" ?{CUT}[ {CUT}]*", CUT)
 
 
+def _named(framed: Column) -> Column:
+    """Holder names of up to 120 characters as the known sentences write them."""
+    for before, after, name in SLOTS:
+        b, a = (x.replace(" ", f"[ {CUT}]") for x in (before, after))
+        framed = F.regexp_replace(framed, f"(?<={CUT}){b}[ {CUT}].{{1,120}}?[ {CUT}]{a}(?=[ {CUT}])",
+                                  f"{before} {name} {after}")
+    return framed
+
+
 def _identifiers(text: Column) -> Column:
-    """Space-framed identifiers of the known sentences, in order."""
+    """Space-framed identifiers of the known sentences, in order; ``GAP`` where
+    unknown pieces stand."""
     known = F.create_map(*[F.lit(x) for k, v in SENTENCES.items() for x in (v, k)])
     longest = sorted(SENTENCES.values(), key=lambda v: (-len(v), v))
     any_of = "|".join(v.replace(" ", f"[ {CUT}]") for v in longest)
-    found = F.regexp_extract_all(pieces(text), F.lit(f"(?<={CUT})(?:{any_of})(?={CUT})"), 0)
-    ids = F.transform(found, lambda s: F.element_at(known, F.translate(s, CUT, " ")))
-    return F.concat(F.lit(" "), F.array_join(ids, "  "), F.lit(" "))
+    found = F.regexp_extract_all(_named(pieces(text)), F.lit(f"(?<={CUT})(?:{any_of}|[^{CUT}]+)(?={CUT})"), 0)
+    ids = F.transform(F.filter(found, lambda s: ~s.rlike("^(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})$")),
+                      lambda s: F.coalesce(F.try_element_at(known, F.translate(s, CUT, " ")), F.lit(GAP)))
+    framed = F.concat(F.lit(" "), F.array_join(ids, "  "), F.lit(" "))
+    return F.regexp_replace(framed, f"(?: {GAP} )+", f" {GAP} ")
 
 
 def _matched(sequence: Column) -> Column:
@@ -173,9 +232,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         marked = marked | low.contains(m)
     src = (docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
            .filter(marked))
-    known = src.select("doc_id", _identifiers(F.col("t")).alias("ids")).filter(F.trim("ids") != "")
-    found = known.select("doc_id", "ids", _matched(F.col("ids")).alias("m"))
-    rest = F.size(F.filter(F.split(F.replace(F.col("m.left"), F.lit("|"), F.lit(" ")), " +"), lambda x: x != ""))
+    known = (src.select("doc_id", _identifiers(F.col("t")).alias("gapped"))
+             .withColumn("ids", F.replace(F.col("gapped"), F.lit(f" {GAP} "), F.lit(""))).filter(F.trim("ids") != ""))
+    found = known.select("doc_id", "ids", _matched(F.col("gapped")).alias("m"))
+    rest = F.size(F.filter(F.split(F.replace(F.col("m.left"), F.lit("|"), F.lit(" ")), " +"), lambda x: ~x.isin("", GAP)))
     unresolved = F.when(rest > 0, F.array(F.struct(F.lit("unresolved").alias("license"), rest.alias("n")))).otherwise(
         F.array().cast("array<struct<license:string,n:int>>"))
     return (found.select("doc_id", "ids", F.explode(F.concat("m.found", unresolved)).alias("x"))
