@@ -1,8 +1,9 @@
 """Text features in long form (Id, term, value) and as ML vectors.
 
-Long tables are the distributed form of a sparse document-term matrix:
-``explode`` of the per-row term array is aggregated per (Id, term) in the
-same stage (partial aggregation), document frequencies are a second
+Long tables are the distributed form of a sparse document-term matrix: rows
+are dealt by Id while they are still texts, so that ``explode`` of the per-row
+term array is aggregated per (Id, term) in the task that made it and no term
+is shuffled for it; document frequencies are a second
 aggregate, and the vocabulary filter is an equi-join on the term (AQE splits
 a skewed term partition; the vocabulary is never collected or broadcast
 without a bound).
@@ -16,14 +17,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorecast.functions import text as tx
+from scorecast.session import scratch_path, shuffle_partitions
+
+# a task's share of texts yields some ten times its bytes as n-grams: more tasks
+# than the shuffles of plain rows have keep the aggregation in memory
+TEXT_TASKS = 8
 
 # --------------------------------------------------------------------------
 # Tokens, n-grams, document-term counts with a fitted vocabulary
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def by_document(df: DataFrame, id_col: str = "Id") -> DataFrame:
+    """The rows dealt by Id: an aggregate per (Id, ...) above needs no shuffle."""
+    return df.repartition(TEXT_TASKS * shuffle_partitions(df.sparkSession), id_col)
+
+
 def doc_terms(df: DataFrame, terms: Column, id_col: str = "Id") -> DataFrame:
     """(Id, term, tf): per-document term counts from an array column."""
-    return (df.select(F.col(id_col).alias(id_col), F.explode(terms).alias("term"))
+    return (by_document(df, id_col).select(F.col(id_col).alias(id_col), F.explode(terms).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -32,8 +50,9 @@ def ngram_doc_terms(df: DataFrame, toks: Column, n_min: int = 1, n_max: int = 1,
     """T3 + T4: (Id, term, tf) of n-grams. Tokens are projected into a column
     first, so the tokenizer runs once per row and the n-gram lambdas read
     the materialised array."""
-    t = df.select(F.col(id_col), toks.alias("__toks"))
-    return doc_terms(t, tx.ngrams(F.col("__toks"), n_min, n_max), id_col)
+    t = by_document(df, id_col).select(F.col(id_col), toks.alias("__toks"))
+    return (t.select(F.col(id_col), F.explode(tx.ngrams(F.col("__toks"), n_min, n_max)).alias("term"))
+            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def document_frequency(dt: DataFrame) -> DataFrame:
@@ -48,13 +67,16 @@ def fit_vocabulary(dt: DataFrame, n_docs: int, min_df=1, max_df=1.0,
     A float bound is a fraction of ``n_docs``, an int an absolute count
     (``max_df=1.0`` keeps every term). ``max_features`` keeps the most
     frequent terms (ties by term) - a TakeOrdered, bounded by its argument.
+    The vocabulary is a written table: the joins with it know its size, so a
+    small one is sent to the counts, which then stay where they are, and a
+    large one is met by a shuffle.
     """
     lo = min_df * n_docs if isinstance(min_df, float) else min_df
     hi = max_df * n_docs if isinstance(max_df, float) else max_df
     v = document_frequency(dt).where((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
     if max_features:
         v = v.orderBy(F.col("df").desc(), F.col("term")).limit(max_features)
-    return v
+    return written(v, "vocabulary")
 
 
 def apply_vocabulary(dt: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -90,14 +112,16 @@ def tfidf(dt: DataFrame, vocab_df: DataFrame, n_docs: int, id_col: str = "Id",
           digits: int | None = 9) -> DataFrame:
     """T5: idf = ln((1+n)/(1+df)) + 1 over the fitting corpus, value = tf*idf,
     rows L2-normalised. ``vocab_df`` holds (term, df) from the fit. The row
-    norm is a per-document aggregate joined back on the key (one row per
-    document), never a window over a hot term."""
+    norm is taken with the document's terms in one aggregate (one row per
+    document, bounded by its terms), never a window over a hot term. Rows
+    without an Id have no document."""
     idf = vocab_df.select("term", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0)
                           .alias("idf"))
     w = dt.join(idf, "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__norm"))
-    out = w.join(norm, id_col).select(id_col, "term",
-                                      F.try_divide(F.col("w"), F.col("__norm")).alias("tfidf"))
+    docs = w.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__norm"), F.collect_list(F.struct("term", "w")).alias("__e"))
+    out = docs.select(id_col, "__norm", F.explode("__e").alias("__e")).select(
+        id_col, "__e.term", F.try_divide(F.col("__e.w"), F.col("__norm")).alias("tfidf"))
     if digits is not None:
         out = out.withColumn("tfidf", F.round("tfidf", digits))
     return out
@@ -118,15 +142,17 @@ def hash_sign(term: Column) -> Column:
 def hashed_features(df: DataFrame, toks: Column, n_min: int = 1, n_max: int = 1,
                     n_features: int = 1 << 20, id_col: str = "Id",
                     digits: int | None = 9) -> DataFrame:
-    """Stateless signed hashing of n-grams (no vocabulary pass, no shuffle
-    before the per-document sum), then L2 norm per document."""
-    t = df.select(F.col(id_col), toks.alias("__toks"))
+    """Stateless signed hashing of n-grams (no vocabulary pass), summed per
+    document in the task that holds it, then L2 norm per document. Rows without
+    an Id have no document."""
+    t = by_document(df, id_col).select(F.col(id_col), toks.alias("__toks")).where(F.col(id_col).isNotNull())
     e = t.select(F.col(id_col), F.explode(tx.ngrams(F.col("__toks"), n_min, n_max)).alias("term"))
     b = (e.groupBy(id_col, hash_bucket(F.col("term"), n_features).alias("bucket"))
          .agg(F.sum(hash_sign(F.col("term"))).cast("double").alias("v")))
-    norm = b.groupBy(id_col).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("__n"))
-    out = b.join(norm, id_col).select(id_col, "bucket",
-                                      F.try_divide(F.col("v"), F.col("__n")).alias("value"))
+    docs = b.groupBy(id_col).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("__n"),
+                                 F.collect_list(F.struct("bucket", "v")).alias("__e"))
+    out = docs.select(id_col, "__n", F.explode("__e").alias("__e")).select(
+        id_col, "__e.bucket", F.try_divide(F.col("__e.v"), F.col("__n")).alias("value"))
     if digits is not None:
         out = out.withColumn("value", F.round("value", digits))
     return out.where(F.col("value") != 0)

@@ -126,6 +126,7 @@ def tfidf_table(spark, sf_dir, ids=None):
         r = r.join(ids, "Id", "left_semi")
     d = cl.dedupe_keep_first(r, ["Text"])
     d = d.select("Id", tx.strip_non_word(tx.remove_breaks(tx.lower("Text"), "")).alias("t"))
+    d = tf.written(d, "clean-texts")
     n = d.count()
     dt = tf.doc_terms(d, tx.remove_stop_words(tx.tokens("t", 2)))
     vocab = tf.fit_vocabulary(dt, n, min_df=5)
