@@ -76,3 +76,17 @@ def test_one_hot_levels_come_from_the_data(spark):
     out = tp.one_hot(df, "label", tp.levels(df, "label"))
     assert out.columns == ["Id", "label", "ohe_3", "ohe_12"]
     assert [tuple(r)[2:] for r in out.orderBy("Id").collect()] == [(1, 0), (0, 1), (0, 0)]
+
+
+def test_superseded_passes_are_given_back(spark):
+    import os
+    from scorecast.session import shared_dir
+    folder = f"{shared_dir(spark)}/scorecast"
+    X = spark.createDataFrame([(i, f"t{(i * j) % 7}", 1.0 + i % 3) for i in range(1, 30) for j in range(1, 4)], "Id long, term string, x double")
+    X = X.groupBy("Id", "term").sum("x").withColumnRenamed("sum(x)", "x")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    m = tp.NMF(2, 5, seed=7, tol=-1.0).fit(X)
+    left = [name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before]
+    assert len(m.losses) == 5 and left.count("nmf-step") == 1 and left.count("nmf-h") == 1
+    assert not {"nmf-w", "nmf-cells", "nmf-input", "nmf-needs"} & set(left)
+    assert m.W.count() == 29 and m.H.count() == 7
