@@ -21,6 +21,7 @@ from scorecast.functions.time import (
     DAY, align_up, bin_index, nearest_label_index, seconds_to_ts, step_seconds,
 )
 from scorecast.operators.joins import broadcast_if_bounded, clamp
+from scorecast.session import scratch_path
 
 ROLL_FUNCS = {
     "mean": F.avg, "avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max,
@@ -170,13 +171,35 @@ def rolling_nearest_features(df: DataFrame, cols, time_col: str = "Time",
     return out
 
 
+def _looked_at(sums: DataFrame, cols, step: int, reach: int, by: list[str]) -> DataFrame:
+    """The bins of each group's calendar that a row looks at: its own one and
+    the ``reach`` before it, from the group's first bin on, empty ones filled
+    with zeros; ``__filled`` is the group's number of non-empty bins. A row's
+    aligned time is its own bin's label, so the rest of the calendar meets no
+    row: the bins grow with the rows, not with groups x span.
+
+    ``sums``: the non-empty bins, made once and written."""
+    path = scratch_path(sums.sparkSession, "group-bins")
+    sums.where(F.col("bin").isNotNull()).select(*by, "bin", *cols).write.parquet(path)
+    sums = sums.sparkSession.read.parquet(path)
+    known = sums.groupBy(*by).agg(F.min("bin").alias("__lo"), F.count(F.lit(1)).alias("__filled"))
+    near = F.sequence(F.greatest(F.col("__lo"), F.col("bin") - reach), F.col("bin"))
+    # the sums are dealt with the bins they fill, so one aggregate makes both
+    dealt = sums.join(known, by).select(*by, "__filled", F.explode(near).alias("__bin"), F.col("bin").alias("__own"), *cols)
+    own = F.col("__own") == F.col("__bin")
+    binned = dealt.groupBy(*by, "__filled", F.col("__bin").alias("bin")).agg(
+        *[F.coalesce(F.max(F.when(own, F.col(c))), F.lit(0)).alias(c) for c in cols])
+    return binned.withColumn("bin_end", ((F.col("bin") + 1) * F.lit(step)).cast("long"))
+
+
 def rolling_merge(df: DataFrame, cols, time_col: str = "Time", step_unit: str = "weeks",
                   step_value: int = 1, func: str = "mean", window: int = 4, by=None,
                   ) -> DataFrame:
     """W4/W5/W6 (+J2, J5, W7): rolling summary lagged one bin, merged back by aligned time.
 
     Each row's time is aligned strictly up to the next multiple of the step
-    (W7); bins carry the same label, the calendar is gap-filled with zeros,
+    (W7); bins carry the same label, the calendar is gap-filled with zeros (a
+    group's as far back as its rows look),
     the trailing ``func`` over ``window`` bins is lagged one bin, and the
     result is left-joined on (group, aligned label) (J2). Groups with fewer
     than ``window`` non-empty bins get null features (W6). New columns are
@@ -189,16 +212,15 @@ def rolling_merge(df: DataFrame, cols, time_col: str = "Time", step_unit: str =
     # bins on the epoch grid; label = aligned time = (floor(t/step)+1)*step.
     # "__rows" counts the rows of each bin for the short-history guard.
     src = df.select(*by, time_col, *cols, F.lit(1).alias("__rows"))
-    binned = resample(src, cols + ["__rows"], time_col, step, "epoch", "sum", 0, by=by,
-                      bounds=None if by else time_bounds(df, time_col))
-    rolled = rolling(binned, cols, window, func, lag=1, by=by, suffix="__r")
     filled = F.count(F.when(F.col("__rows") > 0, 1))
     if by:
-        known = binned.groupBy(*by).agg(filled.alias("__filled"))
-        rolled = rolled.join(known, by, "left")
+        binned = _looked_at(resample(src, cols + ["__rows"], time_col, step, "epoch", "sum", None, by=by),
+                            cols, step, window, by)
         enough = F.col("__filled") >= window
     else:
+        binned = resample(src, cols + ["__rows"], time_col, step, "epoch", "sum", 0, bounds=time_bounds(df, time_col))
         enough = binned.agg(filled).scalar() >= window
+    rolled = rolling(binned, cols, window, func, lag=1, by=by, suffix="__r")
     rolled = rolled.select(*by, F.col("bin_end").alias("__aligned"),
                            *[F.when(enough, F.col(c + "__r")).alias(n)
                              for c, n in zip(cols, names)])
