@@ -18,7 +18,9 @@ from scorecast.operators import clean as cl
 from scorecast.operators import split as sp
 from scorecast.operators import text_features as tf
 from scorecast.operators import topics as tp
+from scorecast.operators.nmf import given_back
 from scorecast.plans.text import _t5_sql
+from scorecast.session import shuffles_freed
 from scorecast.sources.views import reviews, vectors
 
 SEED = 44
@@ -119,19 +121,39 @@ FROM n, q ORDER BY similarity DESC, Id LIMIT 5
 _MODEL_CACHE: dict = {}
 
 
-def tfidf_table(spark, sf_dir, ids=None):
-    """Distinct cleaned texts -> stop words out -> min_df 5 -> TF-IDF (Id, term, x)."""
+def _topic_terms(d):
+    return tf.term_rows(tf.doc_terms(d, tx.remove_stop_words(tx.tokens("t", 2))))
+
+
+def tfidf_rows(spark, sf_dir, ids=None):
+    """((Id, terms, xs), values, vocabulary, documents, counts): distinct cleaned texts
+    -> stop words out -> min_df 5 -> TF-IDF, one row per document. The text is
+    read for terms once."""
     r = reviews(spark, sf_dir).select("Id", "Text")
     if ids is not None:
         r = r.join(ids, "Id", "left_semi")
     d = cl.dedupe_keep_first(r, ["Text"])
     d = d.select("Id", tx.strip_non_word(tx.remove_breaks(tx.lower("Text"), "")).alias("t"))
-    d = tf.written(d, "clean-texts")
-    n = d.count()
-    dt = tf.doc_terms(d, tx.remove_stop_words(tx.tokens("t", 2)))
-    vocab = tf.fit_vocabulary(dt, n, min_df=5)
-    return (tf.tfidf(tf.apply_vocabulary(dt, vocab), vocab, n, digits=None)
-            .withColumnRenamed("tfidf", "x"), vocab, n)
+    with shuffles_freed(spark):
+        d = tf.written(d, "clean-texts")
+        n = d.count()
+        rows, nnz = _topic_terms(d)
+        given_back(d)
+        vocab = tf.fit_vocabulary(tf.row_terms(rows), n, min_df=5)
+    return tf.tfidf_rows(rows, vocab, n), nnz, vocab, n, rows
+
+
+def tfidf_table(spark, sf_dir, ids=None):
+    """``tfidf_rows`` as a long table (Id, term, x)."""
+    rows, _, vocab, n, _ = tfidf_rows(spark, sf_dir, ids)
+    x = rows.select("Id", F.explode(F.arrays_zip("terms", "xs")).alias("e"))
+    return x.select("Id", F.col("e.terms").alias("term"), F.col("e.xs").alias("x")), vocab, n
+
+
+def _fitted(spark, sf_dir, *args, **kw):
+    """NMF of ``tfidf_rows``, whose counts go when the blocks are made."""
+    rows, nnz, _, _, counts = tfidf_rows(spark, sf_dir)
+    return tp.NMF(*args, **kw).fit_rows(rows, nnz, lambda: given_back(counts))
 
 
 def fitted_nmf(spark, sf_dir):
@@ -139,8 +161,7 @@ def fitted_nmf(spark, sf_dir):
     (fitted once per session and data folder; the factors are written tables)."""
     key = (id(spark), sf_dir)
     if key not in _MODEL_CACHE:
-        X, _, _ = tfidf_table(spark, sf_dir)
-        _MODEL_CACHE[key] = tp.NMF(K, seed=SEED).fit(X)
+        _MODEL_CACHE[key] = _fitted(spark, sf_dir, K, seed=SEED)
         if len(_MODEL_CACHE) > 4:
             _MODEL_CACHE.pop(next(iter(_MODEL_CACHE)))
     return _MODEL_CACHE[key]
@@ -149,8 +170,7 @@ def fitted_nmf(spark, sf_dir):
 def t10_nmf_one_step(spark, sf_dir):
     """Both factors after one pass with one coordinate sweep each, from
     the seeded start, in long form (factor, key, topic, weight)."""
-    X, _, _ = tfidf_table(spark, sf_dir)
-    m = tp.NMF(K, 1, SEED, sweeps=1).fit(X)
+    m = _fitted(spark, sf_dir, K, 1, SEED, sweeps=1)
     w = m.W.select(F.lit("w").alias("factor"), F.col("Id").cast("string").alias("key"), F.posexplode("w").alias("topic", "x"))
     h = m.H.select(F.lit("h").alias("factor"), F.col("term").alias("key"), F.posexplode("h").alias("topic", "x"))
     return w.unionByName(h).select("factor", "key", "topic", F.round("x", 6).alias("weight"))
@@ -235,14 +255,13 @@ def t11_nmf_transform(spark, sf_dir):
     s = sp.stratified_split(lab, "Score", 0.8, SEED)
     train_ids = s.where(F.col("split") == "train").select("Id")
     test_ids = s.where(F.col("split") == "test").select("Id")
-    Xtr, vocab, n = tfidf_table(spark, sf_dir, train_ids)
-    model = tp.NMF(K, seed=SEED).fit(Xtr)
+    Xtr, nnz, vocab, n, _ = tfidf_rows(spark, sf_dir, train_ids)
+    model = tp.NMF(K, seed=SEED).fit_rows(Xtr, nnz)
     # test rows use the train vocabulary and idf
     r = reviews(spark, sf_dir).select("Id", "Text").join(test_ids, "Id", "left_semi")
     d = r.select("Id", tx.strip_non_word(tx.remove_breaks(tx.lower("Text"), "")).alias("t"))
-    dt = tf.apply_vocabulary(tf.doc_terms(d, tx.remove_stop_words(tx.tokens("t", 2))), vocab)
-    Xte = tf.tfidf(dt, vocab, n, digits=None).withColumnRenamed("tfidf", "x")
-    W = model.transform(Xte)
+    rows, nnz = _topic_terms(d)
+    W = model.transform_rows(tf.tfidf_rows(rows, vocab, n), nnz)
     return tp.dominant(W, "w", "topic").select("Id", vx.round_all("w", 6).alias("nmf"), "topic")
 
 
